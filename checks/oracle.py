@@ -137,8 +137,8 @@ stop(lang,w) as (values {stop_rows()}),
 tok as materialized (
   select {keys}, lang, unnest(range(len(l))) pos, unnest(l) w
   from (select {keys}, coalesce(case when lang in ('fr','de','es') then lang end,'en') lang,
-        list_filter(string_split(regexp_replace({spaced},'[^\p{{L}}\p{{N}} ]+',' '||chr(10)||' ','g'),' '),
-                    x -> x<>'') l
+        [x for x in string_split(regexp_replace({spaced},'[^\p{{L}}\p{{N}} ]+',' '||chr(10)||' ','g'),' ')
+         if x<>''] l
         from {source})),
 kept as materialized (
   select {keys}, pos, w, row_number() over (partition by {keys} order by pos) i
@@ -442,8 +442,8 @@ ORACLE_BODY = {
         where not regexp_matches(h,'^(#|javascript:|mailto:|$)')""",
     "first_link": r"""select page_id, case when h like 'http%' then h else site||h end link
         from (select page_id, regexp_extract(url,'^([a-z]+://[^/?#]*)',1) site,
-              list_filter(regexp_extract_all(html,'<a href="([^"]*)"',1),
-                x -> not regexp_matches(x,'^(#|javascript:|mailto:|$)'))[1] h from pages)""",
+              [x for x in regexp_extract_all(html,'<a href="([^"]*)"',1)
+               if not regexp_matches(x,'^(#|javascript:|mailto:|$)')][1] h from pages)""",
     "embedded_documents": r"""select page_id,
         case when page_id%3=0 then concat(regexp_extract(url,'^([a-z]+://[^/?#]*)',1),'/doc/',cast(page_id as string),'.pdf') end src,
         case when page_id%3<>0 then 'no embedded PDF' end status from pages""",

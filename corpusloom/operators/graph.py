@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.scalars import compact_iri, wrap_token
@@ -88,9 +88,11 @@ def ntriples_lines(triples: DataFrame) -> DataFrame:
     return triples.select(F.concat_ws(" ", *parts, F.lit(".")).alias("value"))
 
 
-# The three terms of an N-Triples line.
-_TERM = r"(?:<([^>]*)>|\"((?:[^\"\\]|\\.)*)\"(?:@[A-Za-z0-9-]+|\^\^<[^>]*>)?|(_:\S+))"
-_LINE = rf"^\s*{_TERM}\s+{_TERM}\s+{_TERM}\s*\.\s*(?:#.*)?$"
+# The terms of an N-Triples line. No pattern repeats a group, as a
+# long literal would exhaust the stack.
+_NAMED = r"(?:<([^>]*)>|\"([^\"\\]*)\"|(_:\S+))"
+_OBJECT = r"(?:<([^>]*)>|\"(.*)\"(?:@[A-Za-z0-9-]+|\^\^<[^>]*>)?|(_:\S+))"
+_LINE = rf"^\s*{_NAMED}\s+{_NAMED}\s+{_OBJECT}\s*\.\s*(?:#[^\"]*)?$"
 
 
 def parse_ntriples(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -102,9 +104,10 @@ def parse_ntriples(lines: DataFrame, column: str = "value") -> DataFrame:
     text = F.col(column)
     body = lines.where(~text.rlike(r"^\s*(#.*)?$"))
 
-    def term(at: int):
-        iri, literal, blank = (F.regexp_extract(text, _LINE, at + i) for i in range(3))
-        plain = literal
+    def parts(at: int):
+        return (F.regexp_extract(text, _LINE, at + i) for i in range(3))
+
+    def plain(literal: Column) -> Column:
         # A backslash pair is set aside first, so that what follows it stays as it is.
         for written, raw in (
             ("\\\\", "\u0000"),
@@ -114,11 +117,17 @@ def parse_ntriples(lines: DataFrame, column: str = "value") -> DataFrame:
             ("\\t", "\t"),
             ("\u0000", "\\"),
         ):
-            plain = F.replace(plain, F.lit(written), F.lit(raw))
-        return F.when(iri != "", iri).when(blank != "", blank).otherwise(plain)
+            literal = F.replace(literal, F.lit(written), F.lit(raw))
+        return literal
+
+    def term(at: int) -> Column:
+        iri, literal, blank = parts(at)
+        return F.when(iri != "", iri).when(blank != "", blank).otherwise(plain(literal))
 
+    _, literal, _ = parts(7)
+    unescaped = F.replace(F.replace(literal, F.lit("\\\\"), F.lit("")), F.lit('\\"'), F.lit(""))
     checked = body.where(
-        F.when(text.rlike(_LINE), True).otherwise(
+        F.when(text.rlike(_LINE) & ~F.contains(unescaped, F.lit('"')), True).otherwise(
             F.raise_error(F.concat(F.lit("not a triple: "), text)).cast("boolean")
         )
     )
@@ -161,6 +170,6 @@ def jsonld_nodes(
     )
 
 
-def _json_string(value):
+def _json_string(value: Column) -> Column:
     as_list = F.to_json(F.array(value))
     return F.substr(as_list, F.lit(2), F.length(as_list) - 2)
