@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.functions.arrays import let
+from corpusloom.session import spread
+
 VOCAB = "http://vocab.test/Vocabulary#"
 CONTEXT = {
     "@language": "en",
@@ -264,16 +267,17 @@ def trees(spark, sf_dir) -> DataFrame:
             _listed(F.slice(items, p * 6 + 1, 6)), F.lit("}"),
         )
 
-    rows = table(spark, sf_dir, "pages").select(
-        F.col("page_id").alias("doc_id"), F.transform(_items(), element).alias("items")
-    ).where("size(items) > 0")
-    page_list = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size("items") - 1) / 6).cast("int")),
-        lambda p: one_page(F.col("items"), p),
-    )
-    return rows.select(
-        "doc_id",
-        F.parse_json(F.concat(F.lit('{"pages":'), _listed(page_list), F.lit("}"))).alias("doc"),
+    def whole(items: Column) -> Column:
+        last = F.floor((F.size(items) - 1) / 6).cast("int")
+        numbers = F.when(F.size(items) > 0, F.sequence(F.lit(0), last)).otherwise(
+            F.array().cast("array<int>")
+        )
+        pages = _listed(F.transform(numbers, lambda p: one_page(items, p)))
+        return F.parse_json(F.concat(F.lit('{"pages":'), pages, F.lit("}")))
+
+    return spread(table(spark, sf_dir, "pages")).select(
+        F.col("page_id").alias("doc_id"),
+        let(F.transform(_items(), element), whole).alias("doc"),
     )
 
 

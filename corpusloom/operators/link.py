@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.arrays import group_starts, let, per_group
+from corpusloom.session import spread
 
 #: Up to this many distinct name beginnings are sent along as a filter.
 ANCHOR_LIMIT = 20_000
@@ -91,7 +92,7 @@ def mentions(
             ),
         )
 
-    counted = docs.select(*keys, F.inline(let(word_array(F.col("text")), grams)))
+    counted = spread(docs).select(*keys, F.inline(let(word_array(F.col("text")), grams)))
     return counted.join(wanted, "gram").select(*keys, "name_id", "n", "first_pos")
 
 

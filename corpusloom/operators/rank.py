@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import words
 from corpusloom.functions.arrays import group_starts, let, long_sum, per_group, positions
-from corpusloom.session import checkpointed
+from corpusloom.session import checkpointed, spread
 
 #: Ranks are whole units of 1e-12, so that sums do not depend on their order.
 UNITS = 10**12
@@ -130,7 +130,8 @@ def _scored_phrases(toks: Column, rounds: int, reach: int) -> Column:
 
     def from_ids(w: Column, ids: Column, heads: Column) -> Column:
         single = F.array_max(ids) == 0
-        ranks = F.when(
+        none = F.array().cast("array<long>")
+        ranks = F.when(F.size(ids) == 0, none).when(
             single, F.array(_long(UNITS // 100 * (100 - DAMPING_PERCENT)))
         ).otherwise(let(_neighbours(ids, reach), lambda adj: _ranks(adj, rounds)))
         return let(
@@ -180,7 +181,7 @@ def default_tokenizer(keys: list[str]) -> Callable[[DataFrame], DataFrame]:
 
     def run(docs: DataFrame) -> DataFrame:
         lang = F.col("lang") if "lang" in docs.columns else None
-        return docs.select(*keys, words.tokens(F.col("text"), lang).alias("toks"))
+        return spread(docs).select(*keys, words.tokens(F.col("text"), lang).alias("toks"))
 
     return run
 
@@ -243,11 +244,10 @@ def textrank_in_rows(
     toks: DataFrame, keys: list[str], k: int | None, rounds: int = 20, reach: int = REACH
 ) -> DataFrame:
     """Rank every document inside its own row: no shuffle, whatever the corpus size."""
-    has_word = F.exists("toks", lambda t: t != words.BREAK)
     best = _scored_phrases(F.col("toks"), rounds, reach)
     if k is not None:
         best = F.slice(best, 1, k)
-    found = toks.where(has_word).select(*keys, F.posexplode(best).alias("_at", "_p"))
+    found = toks.select(*keys, F.posexplode(best).alias("_at", "_p"))
     return _finish(
         found.select(
             *keys,

@@ -50,3 +50,20 @@ def checkpointed(df: DataFrame) -> DataFrame:
             folder = tempfile.mkdtemp(prefix="corpusloom-checkpoint-")
         context.setCheckpointDir(folder)
     return df.checkpoint()
+
+
+#: Inputs up to this size per core may be spread by a shuffle.
+SMALL_PER_CORE = 64 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread an input that is small for the cluster over all its cores.
+
+    A small file is one partition, and work inside rows would keep one core busy.
+    Spark's own size estimate decides: a large input already has more partitions
+    than there are cores and is not shuffled.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(4 * cores) if size <= cores * SMALL_PER_CORE else df
