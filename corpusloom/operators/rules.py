@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusloom.session import spread
+
 # The rules of the default configuration.
 DEFAULT_RULES = [
     ("Car", r"([A-Z]{2}\-[\d]{3}\-[A-Z]{2})"),
@@ -39,7 +41,7 @@ def label_matches(
             ),
         )
 
-    return docs.select(key, F.inline(F.concat(*[found(*rule) for rule in rules])))
+    return spread(docs).select(key, F.inline(F.concat(*[found(*rule) for rule in rules])))
 
 
 def clean_table(table: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import text as T
 from corpusloom.operators.running import running_total
+from corpusloom.session import spread
 
 
 def split_lines(docs: DataFrame, key: str = "doc_id", column: str = "text") -> DataFrame:
@@ -19,17 +20,17 @@ def split_lines(docs: DataFrame, key: str = "doc_id", column: str = "text") -> D
 def paragraphs(
     docs: DataFrame, key: str = "doc_id", column: str = "text", keep_tail: bool = False
 ) -> DataFrame:
-    """One row per paragraph of whole texts, without a shuffle."""
+    """One row per paragraph of whole texts, worked out inside their rows."""
     parts = T.paragraphs(T.split_lines(F.col(column)), keep_tail)
-    return docs.select(key, F.posexplode(parts).alias("par_no", "text"))
+    return spread(docs).select(key, F.posexplode(parts).alias("par_no", "text"))
 
 
 def document_texts(
     docs: DataFrame, key: str = "doc_id", column: str = "text", keep_tail: bool = False
 ) -> DataFrame:
-    """Rebuilt text per document and a reason where there is none, without a shuffle."""
+    """Rebuilt text per document and a reason where there is none, worked out inside its row."""
     whole = T.document_text(T.split_lines(F.col(column)), keep_tail)
-    return docs.select(key, whole.alias("text")).withColumn(
+    return spread(docs).select(key, whole.alias("text")).withColumn(
         "reason",
         F.when(F.col("text").isNull(), "no text").when(F.col("text") == "", "no paragraph"),
     )

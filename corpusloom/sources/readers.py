@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,14 +51,61 @@ def read_texts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def scan_files(
-    spark: SparkSession, folder: str, ext: str | None = None, content: bool = False
+    spark: SparkSession,
+    folder: str,
+    ext: str | None = None,
+    content: bool = False,
+    with_empty: bool = False,
 ) -> DataFrame:
-    """Files with size and time; bytes are read only when ``content`` is asked for."""
+    """Files with size and time; bytes are read only when ``content`` is asked for.
+
+    Spark's file sources leave out files without a byte. ``with_empty`` adds them,
+    for tests that ask whether a file exists at all.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if ext is not None:
         reader = reader.option("pathGlobFilter", f"*.{ext}")
     columns = ["path", "length", "modificationTime"] + (["content"] if content else [])
-    return reader.load(folder).select(*columns)
+    files = reader.load(folder).select(*columns)
+    if not with_empty:
+        return files
+    return files.unionByName(empty_files(spark, folder, ext), allowMissingColumns=True)
+
+
+def _lister(recursive: bool):
+    """Entries below each folder of a batch, for ``mapInPandas``."""
+
+    def run(batches):
+        for batch in batches:
+            for folder in batch["path"]:
+                scheme = folder.split("://")[0] + "://" if "://" in folder else ""
+                store, path = pafs.FileSystem.from_uri(re.sub(r"^file:/+", "/", folder))
+                found = store.get_file_info(pafs.FileSelector(path, recursive=recursive))
+                shown = [f for f in found if not f.base_name.startswith(("_", "."))]
+                yield pd.DataFrame(
+                    {
+                        "path": [scheme + f.path for f in shown],
+                        "length": [f.size or 0 for f in shown],
+                        "seconds": [int((f.mtime_ns or 0) // 10**9) for f in shown],
+                        "is_folder": [f.type == pafs.FileType.Directory for f in shown],
+                    }
+                ).astype({"path": "object", "length": "int64", "seconds": "int64", "is_folder": "bool"})
+
+    return run
+
+
+def empty_files(spark: SparkSession, folder: str, ext: str | None = None) -> DataFrame:
+    """Files of a folder tree that hold nothing, listed by one task per sub-folder."""
+    schema = "path string, length long, seconds long, is_folder boolean"
+    top = spark.createDataFrame([(folder,)], "path string").mapInPandas(_lister(False), schema)
+    folders = top.where("is_folder").select("path").repartition("path")
+    entries = top.unionByName(folders.mapInPandas(_lister(True), schema))
+    empty = entries.where("not is_folder and length = 0")
+    if ext is not None:
+        empty = empty.where(F.col("path").endswith(f".{ext}"))
+    return empty.select(
+        "path", "length", F.timestamp_seconds("seconds").alias("modificationTime")
+    )
 
 
 def read_todo(spark: SparkSession, path: str) -> DataFrame:
@@ -69,7 +120,7 @@ def list_keys(
     plain = F.regexp_replace("path", r"^[A-Za-z0-9+.-]+:/*", "/")
     start = F.lit("/" + root.split(":", 1)[-1].lstrip("/") + "/")
     key = F.when(plain.startswith(start), F.substr(plain, F.length(start) + 1)).otherwise(plain)
-    files = scan_files(spark, uri, ext).select(key.alias("path"), "length", "modificationTime")
+    files = scan_files(spark, uri, ext, with_empty=True).select(key.alias("path"), "length", "modificationTime")
     return files.where(F.col("path").startswith(prefix))
 
 
