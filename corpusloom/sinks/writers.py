@@ -25,26 +25,28 @@ def write_texts(docs: DataFrame, folder: str, kind: str = "txt") -> None:
 
 
 def phrase_documents(phrases: DataFrame, key: str = "doc_id") -> DataFrame:
-    """One row per document with its ranked phrases in rank order."""
+    """One row per document: a map of phrase to count and score, in rank order.
+
+    The rows of a document are its ranked phrases, at most the ``k`` they were cut to.
+    """
     entry = F.struct("rk", "phrase", F.col("cnt").alias("count"), "rank_score")
     ordered = F.sort_array(F.collect_list(entry))
-    return phrases.groupBy(key).agg(
-        F.transform(
-            ordered, lambda e: F.struct(e["phrase"], e["count"], e["rank_score"])
-        ).alias("phrases")
+    pairs = F.transform(
+        ordered, lambda e: F.struct(e["phrase"], F.struct(e["count"], e["rank_score"]))
     )
+    return phrases.groupBy(key).agg(F.map_from_entries(pairs).alias("phrases"))
 
 
 def section_documents(phrases: DataFrame, sections: DataFrame, key: str = "doc_id") -> DataFrame:
     """One row per document with ``(section_title, text_rank)`` in section order.
 
-    A section without phrases stays, with an empty list.
+    A section without phrases stays, with an empty map.
     """
     per_section = phrase_documents(
         phrases.withColumn("_at", F.struct(key, "sec_no")), "_at"
     ).select(f"_at.{key}", "_at.sec_no", "phrases")
     joined = sections.select(key, "sec_no", "title").join(per_section, [key, "sec_no"], "left")
-    no_phrases = F.array().cast(per_section.schema["phrases"].dataType)
+    no_phrases = F.create_map().cast(per_section.schema["phrases"].dataType)
     entry = F.struct(
         "sec_no",
         F.col("title").alias("section_title"),
@@ -52,7 +54,7 @@ def section_documents(phrases: DataFrame, sections: DataFrame, key: str = "doc_i
     )
     return joined.groupBy(key).agg(
         F.transform(
-            F.sort_array(F.collect_list(entry)),
+            F.array_sort(F.collect_list(entry), lambda x, y: x["sec_no"] - y["sec_no"]),
             lambda e: F.struct(e["section_title"], e["text_rank"]),
         ).alias("sections")
     )
