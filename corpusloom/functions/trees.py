@@ -25,7 +25,7 @@ def node_type(node: Column) -> Column:
     return F.try_variant_get(node, "$.type", "string")
 
 
-def _leaf(kind: Column, node: Column, with_space: bool = True) -> Column:
+def _leaf(kind: Column, node: Column) -> Column:
     """Text a node gives by itself: a word followed by a blank, or a character."""
     is_text = F.schema_of_variant(F.try_variant_get(node, "$.content", "variant")) == "STRING"
     text = _content(node, "string")
@@ -36,16 +36,19 @@ def _leaf(kind: Column, node: Column, with_space: bool = True) -> Column:
 
 def _walk(node: Column, types: tuple[str, ...], path: Column | None) -> Column:
     """State of one node: its type, own text, and children still to be walked."""
-    kind = node_type(node)
     inner = [t for t in types if t != "character"]
-    fields = [
-        kind.alias("type"),
-        _leaf(kind, node).alias("text"),
-        F.when(kind.isin(inner), _content(node, "array<variant>")).alias("kids"),
-    ]
-    if path is not None:
-        fields.append(path.alias("path"))
-    return F.struct(*fields)
+
+    def state(kind: Column) -> Column:
+        fields = [
+            kind.alias("type"),
+            _leaf(kind, node).alias("text"),
+            F.when(kind.isin(inner), _content(node, "array<variant>")).alias("kids"),
+        ]
+        if path is not None:
+            fields.append(path.alias("path"))
+        return F.struct(*fields)
+
+    return let(node_type(node), state)
 
 
 def _checked(states: Column, body: Column) -> Column:

@@ -16,8 +16,8 @@ UNITS = 10**12
 DAMPING_PERCENT = 85
 REACH = 3
 
-#: Documents with more tokens than this are ranked by rounds of joins.
-ROW_WORDS = 200_000
+#: Documents with more characters than this are ranked by rounds of joins.
+ROW_CHARS = 1_000_000
 
 
 def _long(value) -> Column:
@@ -342,30 +342,27 @@ def textrank(
     rounds: int = 20,
     reach: int = REACH,
     tokenizer: Callable[[DataFrame], DataFrame] | None = None,
-    row_words: int = ROW_WORDS,
+    row_chars: int = ROW_CHARS,
     largest: int | None = None,
 ) -> DataFrame:
     """Key phrases of ``docs(keys, text[, lang])`` by a rank over co-occurring words.
 
-    Documents of up to ``row_words`` tokens are ranked inside their rows, larger
+    Documents of up to ``row_chars`` characters are ranked inside their rows, larger
     ones by rounds of joins; both give the same numbers. Whether there are larger
-    ones is looked up first, unless ``largest`` says how many tokens a document
+    ones is looked up first, unless ``largest`` says how many characters a document
     can have. A document without phrases gives no rows.
     """
-    toks = (tokenizer or default_tokenizer(keys))(docs)
-    is_large = F.size("toks") > row_words
-    if largest is not None:
-        any_large = largest > row_words
-    elif tokenizer is None:
-        # n tokens need at least n characters and blanks; punctuation marks count.
-        any_large = not docs.where(F.length("text") > row_words).isEmpty()
+    tokenize = tokenizer or default_tokenizer(keys)
+    is_large = F.length("text") > row_chars
+    if largest is None:
+        any_large = not docs.where(is_large).isEmpty()
     else:
-        any_large = not toks.where(is_large).isEmpty()
+        any_large = largest > row_chars
     if not any_large:
-        return textrank_in_rows(toks, keys, k, rounds, reach)
-    in_rows = textrank_in_rows(toks.where(~is_large), keys, k, rounds, reach)
+        return textrank_in_rows(tokenize(docs), keys, k, rounds, reach)
+    in_rows = textrank_in_rows(tokenize(docs.where(~is_large)), keys, k, rounds, reach)
     return in_rows.unionByName(
-        textrank_by_rounds(toks.where(is_large), keys, k, rounds, reach)
+        textrank_by_rounds(tokenize(docs.where(is_large)), keys, k, rounds, reach)
     )
 
 

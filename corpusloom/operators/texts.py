@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as T
+from corpusloom.functions.arrays import let
 from corpusloom.operators.running import running_total
 from corpusloom.session import spread
 
@@ -30,10 +31,15 @@ def document_texts(
 ) -> DataFrame:
     """Rebuilt text per document and a reason where there is none, worked out inside its row."""
     whole = T.document_text(T.split_lines(F.col(column)), keep_tail)
-    return spread(docs).select(key, whole.alias("text")).withColumn(
-        "reason",
-        F.when(F.col("text").isNull(), "no text").when(F.col("text") == "", "no paragraph"),
+    # A generator, so that a filter on the result does not rebuild the text.
+    parts = let(
+        whole,
+        lambda t: F.struct(
+            t.alias("text"),
+            F.when(t.isNull(), "no text").when(t == "", "no paragraph").alias("reason"),
+        ),
     )
+    return spread(docs).select(key, F.inline(F.array(parts)))
 
 
 def assemble_paragraphs(

@@ -85,7 +85,7 @@ def test_both_ways_agree(spark, rows):
     in_rows = rank.textrank_in_rows(toks, ["doc_id"], 5, rounds=6)
     by_rounds = rank.textrank_by_rounds(toks, ["doc_id"], 5, rounds=6, cut_every=4)
     assert rows(in_rows) == rows(by_rounds)
-    mixed = rank.textrank(docs(spark), k=5, rounds=6, row_words=10)
+    mixed = rank.textrank(docs(spark), k=5, rounds=6, row_chars=30)
     assert rows(mixed) == rows(in_rows)
 
 
