@@ -503,4 +503,25 @@ def _mentions(source: str, keys: str) -> str:
 ORACLE_BODY["mentions"] = _mentions("documents", "doc_id")
 ORACLE_BODY["section_mentions"] = _mentions("v_sec", "doc_id,sec_no")
 
+# Queries that pass through files give what went in.
+ORACLE_BODY["read_corpus"] = ORACLE_BODY["corpus_entities"]
+ORACLE_BODY["todo_file"] = f"select type, entity_id, url, path from ({ORACLE_BODY['worklist']})"
+ORACLE_BODY["stored_texts"] = "select doc_id, text, 'txt' kind from documents where length(text)>0"
+ORACLE_BODY["stored_phrases"] = (
+    f"select doc_id, phrase, cnt, rank_score from ({ORACLE_BODY['textrank_docs']})"
+)
+ORACLE_BODY["manifest_file"] = f"select value from ({ORACLE_BODY['manifest_lines']})"
+ORACLE_BODY["triples_file"] = "select distinct s, p, o from v_triple"
+ORACLE_BODY["jsonld_file"] = ORACLE_BODY["jsonld_nodes"].replace(
+    "from v_triple)", "from v_triple where s like '%1' or o like '%1')"
+)
+ORACLE_BODY["synced_files"] = """with d as (select distinct stem from v_stem where top='pub' and kind='pdf'),
+        n as (select cast(page_id as string) entity_id, unnest(['pdf','txt']) kind from pages),
+        m as (select * from n where kind='txt' or entity_id not in (select stem from d))
+        select entity_id, kind, concat('resources/pub/',kind,'/',entity_id,'.',kind) path,
+               (select count(*) from d) there, (select count(*) from m) as new from m"""
+ORACLE_BODY["extracted_tables"] = """select concat('o',cast(o_orderkey as string)) as "order",
+        coalesce(nullif(o_orderstatus,'F'),' ') status, coalesce(o_orderpriority,' ') o_orderpriority from orders"""
+ORACLE_BODY["incremental_phrases"] = ORACLE_BODY["textrank_docs"]
+
 ORACLE = {name: _with(sql) for name, sql in ORACLE_BODY.items()}

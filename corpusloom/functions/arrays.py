@@ -41,9 +41,12 @@ def per_group(
     starts: Column, total: Column, body: Callable[[Column, Column, Column], Column]
 ) -> Column:
     """Map every group to ``body(start, length, group number)``."""
-    return F.transform(
+    return let(
         starts,
-        lambda s, k: body(s, F.coalesce(F.get(starts, k + 1), total) - s, k),
+        lambda bound: F.transform(
+            bound,
+            lambda s, k: body(s, F.coalesce(F.get(bound, k + 1), total) - s, k),
+        ),
     )
 
 

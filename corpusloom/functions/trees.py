@@ -180,22 +180,19 @@ def sections(doc: Column, max_depth: int = MAX_DEPTH) -> Column:
     )
     return let(
         texts,
-        lambda t: let(
+        lambda t: per_group(
             F.filter(positions(t), lambda i: F.get(t, i)["head"]),
-            lambda heads: per_group(
-                heads,
-                F.size(t),
-                lambda at, length, k: F.struct(
-                    (k + 1).alias("sec_no"),
-                    F.get(t, at)["text"].alias("title"),
-                    F.array_join(
-                        F.transform(
-                            F.slice(t, at + 1, length),
-                            lambda x: F.concat(x["text"], F.lit("\n\n")),
-                        ),
-                        "",
-                    ).alias("text"),
-                ),
+            F.size(t),
+            lambda at, length, k: F.struct(
+                (k + 1).alias("sec_no"),
+                F.get(t, at)["text"].alias("title"),
+                F.array_join(
+                    F.transform(
+                        F.slice(t, at + 1, length),
+                        lambda x: F.concat(x["text"], F.lit("\n\n")),
+                    ),
+                    "",
+                ).alias("text"),
             ),
         ),
     )

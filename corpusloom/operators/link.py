@@ -78,16 +78,13 @@ def mentions(
         )
         return let(
             F.sort_array(cut),
-            lambda g: let(
+            lambda g: per_group(
                 group_starts(g, lambda x, y: x["gram"] == y["gram"]),
-                lambda first: per_group(
-                    first,
-                    F.size(g),
-                    lambda s, length, k: F.struct(
-                        F.get(g, s)["gram"].alias("gram"),
-                        length.cast("long").alias("n"),
-                        F.get(g, s)["at"].alias("first_pos"),
-                    ),
+                F.size(g),
+                lambda s, length, k: F.struct(
+                    F.get(g, s)["gram"].alias("gram"),
+                    length.cast("long").alias("n"),
+                    F.get(g, s)["at"].alias("first_pos"),
                 ),
             ),
         )

@@ -28,64 +28,42 @@ def _div(a: Column, b: Column) -> Column:
     return F.call_function("div", a, b)
 
 
-def _word_ids(kept: Column) -> Column:
-    """Give equal words equal dense numbers; result is aligned with ``kept``."""
+def _occurrences(kept: Column) -> Column:
+    """Positions of every distinct word, words in alphabetical order."""
     by_word = F.sort_array(F.transform(kept, lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
     return let(
         by_word,
-        lambda s: let(
+        lambda s: per_group(
             group_starts(s, lambda x, y: x["w"] == y["w"]),
-            lambda starts: F.transform(
-                F.sort_array(
-                    F.flatten(
-                        per_group(
-                            starts,
-                            F.size(s),
-                            lambda at, length, k: F.transform(
-                                F.slice(s, at + 1, length),
-                                lambda x: F.struct(x["i"].alias("i"), k.alias("k")),
-                            ),
-                        )
-                    )
-                ),
-                lambda x: x["k"],
-            ),
+            F.size(s),
+            lambda at, length, k: F.transform(F.slice(s, at + 1, length), lambda x: x["i"]),
         ),
     )
 
 
-def _neighbours(ids: Column, reach: int) -> Column:
-    """Adjacency lists of the word graph, indexed by word number."""
+def _word_ids(occurrences: Column) -> Column:
+    """Number of the word at each position."""
+    placed = F.transform(
+        occurrences,
+        lambda ps, k: F.transform(
+            ps, lambda p: F.shiftleft(p.cast("long"), 32) + k.cast("long")
+        ),
+    )
+    return F.transform(
+        F.sort_array(F.flatten(placed)), lambda x: x.bitwiseAND(_long(0xFFFFFFFF)).cast("int")
+    )
 
-    def code(a: Column, b: Column) -> Column:
-        return F.shiftleft(a.cast("long"), 32) + b.cast("long")
 
-    def pairs(d: int) -> Column:
-        later = F.slice(ids, d + 1, F.size(ids))
-        return F.zip_with(
-            ids, later, lambda a, b: F.when(a != b, code(F.least(a, b), F.greatest(a, b)))
-        )
+def _neighbours(occurrences: Column, ids: Column, reach: int) -> Column:
+    """Adjacency lists of the word graph, indexed by word number."""
 
-    def both_ways(e: Column) -> Column:
-        return F.array(
-            e, code(e.bitwiseAND(_long(0xFFFFFFFF)).cast("int"), F.shiftright(e, 32).cast("int"))
-        )
+    def around(p: Column) -> Column:
+        first = F.greatest(p - reach, F.lit(0))
+        return F.slice(ids, first + 1, p - first + reach + 1)
 
-    near = F.array_distinct(F.concat(*[pairs(d) for d in range(1, reach + 1)]))
-    edges = F.sort_array(F.flatten(F.transform(F.array_compact(near), both_ways)))
-    return let(
-        edges,
-        lambda e: let(
-            group_starts(e, lambda x, y: F.shiftright(x, 32) == F.shiftright(y, 32)),
-            lambda starts: per_group(
-                starts,
-                F.size(e),
-                lambda at, length, k: F.transform(
-                    F.slice(e, at + 1, length),
-                    lambda x: x.bitwiseAND(_long(0xFFFFFFFF)).cast("int"),
-                ),
-            ),
-        ),
+    return F.transform(
+        occurrences,
+        lambda ps, k: F.array_remove(F.array_distinct(F.flatten(F.transform(ps, around))), k),
     )
 
 
@@ -126,19 +104,25 @@ def _scored_phrases(toks: Column, rounds: int, reach: int) -> Column:
     def from_marked(m: Column) -> Column:
         kept = F.transform(m, lambda x: x["w"])
         heads = F.filter(positions(m), lambda i: F.get(m, i)["head"])
-        return let(kept, lambda w: let(_word_ids(w), lambda ids: from_ids(w, ids, heads)))
-
-    def from_ids(w: Column, ids: Column, heads: Column) -> Column:
-        single = F.array_max(ids) == 0
-        none = F.array().cast("array<long>")
-        ranks = F.when(F.size(ids) == 0, none).when(
-            single, F.array(_long(UNITS // 100 * (100 - DAMPING_PERCENT)))
-        ).otherwise(let(_neighbours(ids, reach), lambda adj: _ranks(adj, rounds)))
+        return let(
+            kept,
+            lambda w: let(
+                _occurrences(w),
+                lambda occ: let(_word_ids(occ), lambda ids: from_ids(w, occ, ids, heads)),
+            ),
+        )
+
+    def from_ids(w: Column, occ: Column, ids: Column, heads: Column) -> Column:
+        # A single distinct word has no neighbour to share with.
+        single = F.array(_long(UNITS // 100 * (100 - DAMPING_PERCENT)))
+        ranks = F.when(F.size(occ) == 1, single).otherwise(
+            let(_neighbours(occ, ids, reach), lambda adj: _ranks(adj, rounds))
+        )
         return let(
             ranks,
             lambda r: let(
                 F.transform(ids, lambda j: F.get(r, j)),
-                lambda at_pos: let(heads, lambda h: from_ranks(w, at_pos, h)),
+                lambda at_pos: from_ranks(w, at_pos, heads),
             ),
         )
 
@@ -157,19 +141,16 @@ def _scored_phrases(toks: Column, rounds: int, reach: int) -> Column:
         )
         return let(
             runs,
-            lambda p: let(
-                group_starts(p, lambda x, y: x["phrase"] == y["phrase"]),
-                lambda starts: F.sort_array(
-                    per_group(
-                        starts,
-                        F.size(p),
-                        lambda s, length, k: F.struct(
-                            (-F.get(p, s)["units"]).alias("neg"),
-                            F.get(p, s)["phrase"].alias("phrase"),
-                            length.cast("long").alias("cnt"),
-                        ),
-                    )
-                ),
+            lambda p: F.sort_array(
+                per_group(
+                    group_starts(p, lambda x, y: x["phrase"] == y["phrase"]),
+                    F.size(p),
+                    lambda s, length, k: F.struct(
+                        (-F.get(p, s)["units"]).alias("neg"),
+                        F.get(p, s)["phrase"].alias("phrase"),
+                        length.cast("long").alias("cnt"),
+                    ),
+                )
             ),
         )
 
@@ -212,7 +193,11 @@ def unique_phrases(phrases: DataFrame, keys: list[str] = ["doc_id"]) -> DataFram
 def rank_phrases(
     phrases: DataFrame, keys: list[str] = ["doc_id"], score: str = "rank_score"
 ) -> DataFrame:
-    """Number the phrases of a document (or section) by score, ties by text."""
+    """Number all phrases of a document (or section) by score, ties by text.
+
+    They come from one text cell, which bounds what a window has to sort (it spills
+    to disk). For a top-k use ``top_phrases``, which cuts before the shuffle.
+    """
     window = Window.partitionBy(*keys).orderBy(F.desc(score), "phrase")
     return phrases.withColumn("rk", F.row_number().over(window))
 
@@ -329,10 +314,9 @@ def textrank_by_rounds(
         .groupBy(*keys, "phrase")
         .agg(F.first("cnt").alias("cnt"), _div(F.sum("r"), F.count("*")).alias("units"))
     )
-    ranked = rank_phrases(scored, keys, "units")
-    if k is not None:
-        ranked = ranked.where(F.col("rk") <= k)
-    return _finish(ranked, keys)
+    if k is None:
+        return _finish(rank_phrases(scored, keys, "units"), keys)
+    return _finish(top_phrases(scored, k, keys, "units"), keys)
 
 
 def textrank(

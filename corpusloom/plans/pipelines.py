@@ -10,26 +10,35 @@ from corpusloom.sources import readers
 
 
 def fetch_plan(
-    spark: SparkSession, corpus_path: str, resources: str, force: bool = False
+    spark: SparkSession,
+    corpus_path: str,
+    resources: str,
+    force: bool = False,
+    with_empty: bool = True,
 ) -> DataFrame:
-    """Corpus file and stored files to the work list of what is still to be fetched."""
+    """Corpus file and stored files to the work list of what is still to be fetched.
+
+    A file without a byte counts as there, unless ``with_empty`` is off.
+    """
     entities = readers.read_corpus(spark, corpus_path)
     root = resources.rstrip("/")
-    pub_files = readers.scan_files(spark, f"{root}/{corpus.PUBLICATION_FOLDER}", "pdf", with_empty=True)
-    dat_files = readers.scan_files(spark, f"{root}/{corpus.DATASET_FOLDER}", with_empty=True)
+    pub_files = readers.scan_files(spark, f"{root}/{corpus.PUBLICATION_FOLDER}", "pdf", with_empty=with_empty)
+    dat_files = readers.scan_files(spark, f"{root}/{corpus.DATASET_FOLDER}", with_empty=with_empty)
     return corpus.worklist(
         corpus.pending_publications(entities, pub_files, force),
         corpus.pending_datasets(entities, dat_files, force),
     )
 
 
-def fetch_report(spark: SparkSession, corpus_path: str, resources: str) -> DataFrame:
+def fetch_report(
+    spark: SparkSession, corpus_path: str, resources: str, with_empty: bool = True
+) -> DataFrame:
     """Per type of entity: records, fetched, missing."""
     root = resources.rstrip("/")
     return corpus.resource_stats(
         readers.read_corpus(spark, corpus_path),
-        readers.scan_files(spark, f"{root}/{corpus.PUBLICATION_FOLDER}", "pdf", with_empty=True),
-        readers.scan_files(spark, f"{root}/{corpus.DATASET_FOLDER}", with_empty=True),
+        readers.scan_files(spark, f"{root}/{corpus.PUBLICATION_FOLDER}", "pdf", with_empty=with_empty),
+        readers.scan_files(spark, f"{root}/{corpus.DATASET_FOLDER}", with_empty=with_empty),
     )
 
 

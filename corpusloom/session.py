@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,13 +33,11 @@ def local_session(cores: str = "8", memory: str = "12g", **extra: str) -> SparkS
     return spark
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read on from there.
+def _checkpoint_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, which all executors share.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a
-    local session that names none gets a folder of its own.
+    Only a local session that names none gets a folder of its own.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get(
@@ -49,9 +48,20 @@ def checkpointed(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="corpusloom-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read on from there."""
+    _checkpoint_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """A new name for a written table in the shared checkpoint folder."""
+    return f"{_checkpoint_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
 #: Inputs up to this size per core may be spread by a shuffle.
 SMALL_PER_CORE = 64 << 20
 

@@ -79,7 +79,8 @@ def _lister(recursive: bool):
         for batch in batches:
             for folder in batch["path"]:
                 scheme = folder.split("://")[0] + "://" if "://" in folder else ""
-                store, path = pafs.FileSystem.from_uri(re.sub(r"^file:/+", "/", folder))
+                plain = re.sub(r"^file:/+", "/", re.sub(r"^s3[an]:", "s3:", folder))
+                store, path = pafs.FileSystem.from_uri(plain)
                 found = store.get_file_info(pafs.FileSelector(path, recursive=recursive))
                 shown = [f for f in found if not f.base_name.startswith(("_", "."))]
                 yield pd.DataFrame(
@@ -113,14 +114,18 @@ def read_todo(spark: SparkSession, path: str) -> DataFrame:
 
 
 def list_keys(
-    spark: SparkSession, uri: str, prefix: str = "corpus_docs", ext: str | None = None
+    spark: SparkSession,
+    uri: str,
+    prefix: str = "corpus_docs",
+    ext: str | None = None,
+    with_empty: bool = False,
 ) -> DataFrame:
     """Keys below a store URI, without the URI, by prefix and extension."""
     root = uri.rstrip("/")
     plain = F.regexp_replace("path", r"^[A-Za-z0-9+.-]+:/*", "/")
     start = F.lit("/" + root.split(":", 1)[-1].lstrip("/") + "/")
     key = F.when(plain.startswith(start), F.substr(plain, F.length(start) + 1)).otherwise(plain)
-    files = scan_files(spark, uri, ext, with_empty=True).select(key.alias("path"), "length", "modificationTime")
+    files = scan_files(spark, uri, ext, with_empty=with_empty).select(key.alias("path"), "length", "modificationTime")
     return files.where(F.col("path").startswith(prefix))
 
 

@@ -29,39 +29,49 @@ def text_stream(
     )
 
 
-def incremental_texts(
-    spark: SparkSession,
-    folder: str,
-    checkpoint: str,
-    process: Callable[[DataFrame, int], None],
-    max_files_per_trigger: int | None = None,
+def run_new(
+    stream: DataFrame, checkpoint: str, process: Callable[[DataFrame, int], None]
 ) -> StreamingQuery:
-    """Hand all files that are new since the last run to ``process``, then stop.
+    """Hand everything that is new since the last run to ``process``, then stop.
 
     The checkpoint remembers the files. ``process`` gets a batch number that stays
     the same when a batch is run again after a failure, so that it can replace
     what the failed try wrote.
     """
     return (
-        text_stream(spark, folder, max_files_per_trigger)
-        .writeStream.foreachBatch(process)
+        stream.writeStream.foreachBatch(process)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def incremental_phrases(
-    spark: SparkSession, folder: str, checkpoint: str, target: str, k: int = 20, rounds: int = 20
+def incremental_texts(
+    spark: SparkSession,
+    folder: str,
+    checkpoint: str,
+    process: Callable[[DataFrame, int], None],
+    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Key phrases of new files as Parquet, one folder per batch.
+    """Process only the text files of a folder that no earlier run has seen."""
+    return run_new(text_stream(spark, folder, max_files_per_trigger), checkpoint, process)
+
+
+def phrase_writer(target: str, k: int = 20, rounds: int = 20) -> Callable[[DataFrame, int], None]:
+    """Key phrases of a batch as Parquet, in a folder of the batch.
 
     A batch that runs again overwrites its own folder, so no row is there twice.
     """
 
     def process(batch: DataFrame, number: int) -> None:
-        textrank(batch, k=k, rounds=rounds).write.mode("overwrite").parquet(
-            f"{target.rstrip('/')}/batch={number}"
-        )
+        phrases = textrank(batch, k=k, rounds=rounds)
+        phrases.write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch={number}")
 
-    return incremental_texts(spark, folder, checkpoint, process)
+    return process
+
+
+def incremental_phrases(
+    spark: SparkSession, folder: str, checkpoint: str, target: str, k: int = 20, rounds: int = 20
+) -> StreamingQuery:
+    """Key phrases of new text files, one folder per batch."""
+    return incremental_texts(spark, folder, checkpoint, phrase_writer(target, k, rounds))

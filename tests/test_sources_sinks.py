@@ -74,7 +74,7 @@ def test_scan_and_list_keys(spark, rows, tmp_path):
     files = readers.scan_files(spark, str(tmp_path / "store"), "pdf", with_empty=True)
     assert rows(files.select(S.file_stem(F.col("path")), "length")) == [("x", 8), ("y", 0)]
     assert rows(corpus.id_set(corpus.non_empty(files))) == [("x",)]
-    keys = readers.list_keys(spark, str(tmp_path / "store"), "corpus_docs/pub", "pdf")
+    keys = readers.list_keys(spark, str(tmp_path / "store"), "corpus_docs/pub", "pdf", with_empty=True)
     assert rows(keys.select("path")) == [
         ("corpus_docs/pub/pdf/x.pdf",), ("corpus_docs/pub/pdf/y.pdf",)
     ]
