@@ -47,8 +47,7 @@ def label_matches(
 def clean_table(table: DataFrame) -> DataFrame:
     """Drop columns named ``Unnamed...``; empty cells become one blank.
 
-    A column that has an empty cell to fill must be a string, so all others but
-    numbers without nulls in their schema are cast.
+    Only a string column can hold a blank, so every column that may be empty is cast.
     """
     kept = [f for f in table.schema.fields if not f.name.startswith("Unnamed")]
     return table.select(
