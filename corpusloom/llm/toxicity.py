@@ -1,17 +1,19 @@
 """Toxic passages: all maximal scoring segments of a text under token log-odds.
 
 Every token has a log-odds of toxic against other text with an informative Dirichlet
-prior: token counts of both classes are smoothed by the counts of both together. Tokens
-whose log-odds are not significant (by their z-score) are neutral and cost ``DRIFT``. A
-linear scan finds all maximal scoring segments of a text. By extreme-value theory, a text
-of n tokens without toxicity has K n exp(-lambda S) segments of score S or more, where
-lambda follows from the scores of ordinary tokens and K from the segments of ordinary
-texts. A segment with fewer than ``EXPECTED`` such is significant. Evidence of a text is the
-sum of lambda S - ln(K n) over its significant segments, or that of the best one, and a
-logistic curve turns it into a score.
-
-Fitting uses at most ``ROWS`` labelled rows, by a hash of ``doc_id``, and keeps the
-``TOKENS`` most significant tokens; scoring reads every token of every text.
+prior: the counts of both classes are smoothed by the counts of both together. A token
+that is too rare to be significant (by its z-score) falls back on its first five, then
+four letters, so that inflected and compound words count; what is not significant then
+is neutral and costs ``DRIFT``. A linear scan finds all maximal scoring segments of a text. By
+extreme-value theory, a text of n tokens without toxicity has K n exp(-lambda S) segments
+of score S or more, where lambda follows from the scores of ordinary tokens and K from the
+segments of ordinary texts. A segment with fewer than ``EXPECTED`` such is significant. Evidence
+of a text is the sum of lambda S - ln(K n) over its significant segments, or that of the
+best one, and a logistic curve turns it into a score.
+
+Fitting uses at most ``ROWS`` labelled rows, by a hash of ``doc_id``, of which near copies
+count once, and keeps the ``TOKENS`` most significant tokens; scoring reads every token of
+every text.
 
 A null or empty text has no tokens and the score of no evidence. A row without ``doc_id``
 or label is not learned from. If a label is missing from the sample, all texts get
@@ -25,19 +27,22 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.base import fold, texts
+from corpusloom.llm.base import fold, texts, written
 from corpusloom.llm.language import by_batches
 
 #: Bounds of the fit.
-ROWS = 40_000
+ROWS = 20_000
 TOKENS = 50_000
-#: z-score from which a token counts, weight of the prior in tokens, cost of a neutral token.
-SIGNIFICANT = 4.0
-PRIOR = 500.0
+#: z-score from which a token counts, share of the prior in all counts, cost of a neutral token.
+SIGNIFICANT = 3.5
+PRIOR = 0.1
 DRIFT = 0.25
+#: Letters of the beginnings that stand in for rare words.
+STEMS = (5, 4)
 #: Expected number of segments by chance below which a segment is significant.
 EXPECTED = 0.05
 
@@ -48,6 +53,18 @@ def tokens(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
+def features(text: str) -> set[str]:
+    """Words and their beginnings; beginnings are marked, as no word has a tilde."""
+    words = set(tokens(text))
+    return words.union(*({"~" + w[:n] for w in words if len(w) > n} for n in STEMS))
+
+
+def sketch(text: str) -> int:
+    """The smallest hash of three words in a row, which near copies mostly share."""
+    words = tokens(text)
+    return min((xxhash.xxh64_intdigest(" ".join(words[i : i + 3])) for i in range(max(1, len(words) - 2))), default=0) >> 1
+
+
 def segments(places: list[int], weights: list[float], drift: float) -> list[tuple[int, int, float]]:
     """All maximal scoring segments: first token, end, score.
 
@@ -85,11 +102,23 @@ class Model:
     offset: float
     constant: float | None = None
 
+    def __post_init__(self):
+        self.stems = [(n, {k[1:]: w for k, w in self.weights.items() if k[0] == "~" and len(k) == n + 1}) for n in STEMS]
+
     def found(self, text: str) -> tuple[list[tuple[int, int, float]], int]:
         words = tokens(text)
-        get = self.weights.get
-        hits = [(i, w) for i, w in enumerate(map(get, words)) if w is not None]
-        return segments([i for i, _ in hits], [w for _, w in hits], DRIFT), len(words)
+        get, places, weights = self.weights.get, [], []
+        (n, long), (m, short) = self.stems
+        for i, word in enumerate(words):
+            weight = get(word)
+            if weight is None and (part := word[:n]) in long and len(word) > n:
+                weight = long[part]
+            elif weight is None and (part := word[:m]) in short and len(word) > m:
+                weight = short[part]
+            if weight is not None:
+                places.append(i)
+                weights.append(weight)
+        return segments(places, weights, DRIFT), len(words)
 
     def judged(self, text: str) -> tuple[float, list[tuple[int, int, float]]]:
         """The score, and the significant segments: first token, end, expected number by chance."""
@@ -118,9 +147,14 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def token_counts(rows: DataFrame) -> DataFrame:
-    """``token, n1, n0``: tokens of toxic and of other rows. Words are cut as in ``tokens``."""
-    words = F.regexp_extract_all(F.lower("text"), F.lit("(?U)\\w+"), 0)
-    return rows.select("toxic", F.explode(words).alias("token")).groupBy("token").agg(
+    """``token, n1, n0``: documents of either label that hold a token; near copies count once."""
+
+    def act(batch):
+        docs = batch.column(1).to_pylist()
+        return pa.RecordBatch.from_arrays([batch.column(2), pa.array(map(sketch, docs), pa.int64()), pa.array([list(features(t)) for t in docs], pa.list_(pa.string()))], ["toxic", "sketch", "tokens"])
+
+    found = by_batches(rows, act, "toxic int, sketch long, tokens array<string>").dropDuplicates(["toxic", "sketch"])
+    return found.select("toxic", F.explode("tokens").alias("token")).groupBy("token").agg(
         F.sum("toxic").cast("double").alias("n1"), F.sum(1 - F.col("toxic")).cast("double").alias("n0")
     )
 
@@ -129,9 +163,10 @@ def token_weights(counts: DataFrame) -> DataFrame:
     """``token, weight, z, n1, n0`` of the tokens with significant log-odds."""
     sums = counts.agg(F.sum("n1").alias("a"), F.sum("n0").alias("b")).first()
     one, none = float(sums["a"] or 0), float(sums["b"] or 0)
-    prior = F.lit(PRIOR) * (F.col("n1") + F.col("n0")) / F.lit(max(one + none, 1.0))
+    weight = PRIOR * (one + none)
+    prior = F.lit(PRIOR) * (F.col("n1") + F.col("n0"))
     y1, y0 = F.col("n1") + prior, F.col("n0") + prior
-    odds = F.ln(y1 / (one + PRIOR - y1)) - F.ln(y0 / (none + PRIOR - y0))
+    odds = F.ln(y1 / (one + weight - y1)) - F.ln(y0 / (none + weight - y0))
     z = odds / F.sqrt(1 / y1 + 1 / y0)
     rows = counts.select("token", odds.alias("weight"), z.alias("z"), "n1", "n0").where(F.abs("z") >= SIGNIFICANT)
     return rows.orderBy(F.desc(F.abs("z")), "token").limit(TOKENS)
@@ -157,7 +192,7 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Model:
         if not sums.get(0) or not sums.get(1):
             share = sums.get(1, 0) / max(1, sum(sums.values()))
             return Model({}, 1.0, 1.0, 0.0, 0.0, share)
-        counts = token_counts(rows)
+        counts = written(token_counts(rows), "tokens")
         found = token_weights(counts).collect()
         weight = {r["token"]: r["weight"] for r in found}
         ordinary = counts.agg(F.sum("n0")).first()[0] or 1.0
