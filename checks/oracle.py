@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-import glob
 import os
-import zipfile
-
-import pyspark
 
 VIEWS = {}
 
@@ -108,22 +104,23 @@ from (select *, coalesce(sum(case when line='' then 1 else 0 end) over
       from (select doc_id, line_no, trim(text,{_STRIP}) line from v_para_line))
 group by doc_id, par_no having max(case when line='' then 1 else 0 end)=1"""
 
-# Languages of the documents and the names of their stop-word lists.
-_LISTS = {"en": "english", "fr": "french", "de": "german", "es": "spanish"}
+def stop_words() -> dict[str, list[str]]:
+    """Stop words by language, from the plain file beside this module."""
+    lists: dict[str, list[str]] = {}
+    with open(os.path.join(os.path.dirname(__file__), "stop_words.txt"), encoding="utf-8") as lines:
+        for line in lines:
+            word = line.rstrip("\n")
+            if word.startswith("["):
+                lists[word.strip("[]")] = found = []
+            elif word and not word.startswith("#"):
+                found.append(word)
+    return lists
 
 
 def stop_rows() -> str:
-    """Spark's own stop words as SQL rows; read from its jar, as no session may be running."""
-    jar = glob.glob(os.path.join(pyspark.__path__[0], "jars", "spark-mllib_*.jar"))[0]
-    rows = []
-    with zipfile.ZipFile(jar) as archive:
-        for lang, name in _LISTS.items():
-            body = archive.read(f"org/apache/spark/ml/feature/stopwords/{name}.txt")
-            for word in body.decode("utf8").split("\n"):
-                if word:
-                    quoted = word.replace("'", "''")
-                    rows.append(f"('{lang}','{quoted}')")
-    return ",".join(rows)
+    """The stop words as SQL rows."""
+    rows = [(code, w.replace("'", "''")) for code, words in stop_words().items() for w in words]
+    return ",".join(f"('{code}','{w}')" for code, w in rows)
 
 
 def token_views(source: str, keys: str) -> str:

@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_DIR
+from conftest import ROOT, SF_DIR
 from tools.check_oracle import TABLES, rows_of
 
 QUERIES = entry.queries()
@@ -36,3 +36,18 @@ def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns == ["doc_id", "rk", "phrase", "cnt", "rank_score"]
     assert not df.isEmpty()
+
+
+def test_stop_words_are_those_of_spark(spark):
+    from checks.oracle import stop_words
+    from corpusloom.functions import words
+
+    assert stop_words() == {code: [w for w in words.stop_words(code) if w] for code in ("en", "fr", "de", "es")}
+
+
+def test_sql_needs_no_file_of_an_installed_package():
+    import subprocess
+    import sys
+
+    code = "import pyspark; pyspark.__path__[:] = []; import checks.oracle as o; assert len(o.ORACLE) >= 100"
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=ROOT)
