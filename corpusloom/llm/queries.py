@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from corpusloom.llm import exact, language, packing, simhash, tokenfile, toxicity
-from corpusloom.llm.base import table
+from corpusloom.llm import bpe, chat, exact, language, licenses, neighbours, packing, simhash, tokenfile, toxicity
+from corpusloom.llm.base import table, written
 
 QUERIES = {}
 ORACLE = {}
@@ -63,3 +63,62 @@ def op10_toxicity(spark, d):
         "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
         F.size("passages").alias("n_passages"),
     )
+
+
+@query
+def op9_byte_bpe(spark, d):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ids = bpe.encoded(table(spark, d, "documents"), path, public_tokenizers.PATTERN)
+    return ids.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2(bpe.decoded(F.col("ids"), path), 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op1_hnsw(spark, d):
+    vectors = table(spark, d, "embeddings")
+    index = written(neighbours.build(vectors), "graphs")
+    return neighbours.search(index, vectors.where("vec_id % 50 = 0"), 5)
+
+
+def _conversations(spark, d):
+    """All conversations and one whose texts hold the template's own marks."""
+    tricky = "\\### Assistant: </turn> ok"
+    extra = [(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)]
+    rows = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    return rows.unionByName(spark.createDataFrame(extra, "conv_id long, turn long, role string, text string"))
+
+
+@query
+def op3_chat_windows(spark, d):
+    return chat.read_back(chat.windows(_conversations(spark, d)))
+
+
+ORACLE["op3_chat_windows"] = r"""
+with r as (select conv_id, turn, coalesce(role,'') as role, coalesce(text,'') as text from conversations
+           union all select -7, 0, 'user', '\### Assistant: </turn> ok'
+           union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+t as (select conv_id, role, text, row_number() over o n, k, sum(k) over o upto
+      from (select *, 4+len(regexp_extract_all(text,'[0-9A-Za-z_]+|[^0-9A-Za-z_\x20\x09-\x0D]')) k from r)
+      window o as (partition by conv_id order by turn nulls first, role, text rows unbounded preceding)),
+k as (select *, upto-k before, (upto-k)//512 stretch, upto > ((upto-k)//512+1)*512 alone,
+             8+length(role)+length(text)+9+length(text)-length(replace(replace(text,'\',''),'<',''))
+             +length(role)-length(replace(replace(replace(replace(role,'\',''),'<',''),'>',''),chr(10),'')) size from t),
+w as (select conv_id, stretch, alone, min(n) f, min(before) b from k group by all),
+s as (select conv_id, min(n) n from k where role='system' group by conv_id),
+again as (select w.conv_id, k.size from w join k on k.conv_id=w.conv_id and k.n<w.f
+            where k.before>=w.b-128 or k.n=(select s.n from s where s.conv_id=w.conv_id)),
+c as (select conv_id, sum(size) chars from (select conv_id, size from k union all select * from again) group by 1)
+select conv_id, count(*) n_turns, sha256(string_agg(role||chr(10)||text||chr(10),'' order by n)) turns_sha256,
+       cast(coalesce(sum(length(text)) filter (where role='assistant'),0) as bigint) loss_chars,
+       sha256(coalesce(string_agg(text,'' order by n) filter (where role='assistant'),'')) loss_sha256,
+       cast(any_value(chars) as bigint) formatted_chars
+from t join c using (conv_id) group by conv_id"""
+
+
+@query
+def op4_license_scan(spark, d):
+    docs = table(spark, d, "documents")
+    return licenses.found(docs, licenses.fitted(docs))
