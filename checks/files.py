@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from checks import views as V
 from checks.queries import query, textrank_docs, worklist
 from corpusloom.operators import corpus as C
-from corpusloom.operators import graph, rules
+from corpusloom.operators import rules
 from corpusloom.session import shared_folder
 from corpusloom.sinks import writers
 from corpusloom.sources import readers
@@ -16,14 +16,13 @@ from corpusloom.streaming import incremental
 
 @query
 def read_corpus(spark, d):
-    """Corpus files of up to a thousand records of each type, read as entities."""
+    """One corpus file per type, read as entities."""
     folder = shared_folder(spark, "corpus")
     records = V.records(spark, d).select(
         F.to_json("record").alias("r"),
         F.try_variant_get("record", '$["@type"]', "string").alias("type"),
-        F.expr("""split_part(try_variant_get(record, '$["@id"]', 'string'), '-', -1) div 1000""").alias("part"),
     )
-    whole = records.groupBy("type", "part").agg(
+    whole = records.groupBy("type").agg(
         F.concat(F.lit('{"@graph":['), F.array_join(F.collect_list("r"), ","), F.lit("]}")).alias("value")
     )
     whole.select("value").write.option("maxRecordsPerFile", 1).text(folder)
@@ -76,9 +75,9 @@ def triples_file(spark, d):
 
 @query
 def jsonld_file(spark, d):
-    """Compact node objects of a neighbourhood that is a third of the graph or less."""
+    """Compact node objects of the whole graph."""
     folder = shared_folder(spark, "jsonld")
-    writers.write_jsonld(graph.touching(V.triples(spark, d), "1"), V.CONTEXT, folder)
+    writers.write_jsonld(V.triples(spark, d), V.CONTEXT, folder)
     return spark.read.text(folder)
 
 

@@ -313,7 +313,8 @@ ORACLE_BODY = {
           max(case when type='heading' then text end) title,
           string_agg(text||chr(10)||chr(10),'' order by elem_no) as text
         from (select *, sum(case when type='heading' then 1 else 0 end)
-                over (partition by doc_id order by elem_no) sec_no from v_element where elem_no>0)
+                over (partition by doc_id order by elem_no) sec_no
+              from (select * replace (case when elem_no=0 then 'paragraph' else type end as type) from v_element))
         where sec_no>=1 group by doc_id, sec_no""",
     "assigned_sections": "select doc_id, elem_no, cast(sec_no as bigint) sec_no from v_section",
     "text_elements": "select * from v_element where type<>'list'",
@@ -509,9 +510,8 @@ ORACLE_BODY["stored_phrases"] = (
 )
 ORACLE_BODY["manifest_file"] = f"select value from ({ORACLE_BODY['manifest_lines']})"
 ORACLE_BODY["triples_file"] = "select distinct s, p, o from v_triple"
-ORACLE_BODY["jsonld_file"] = ORACLE_BODY["jsonld_nodes"].replace(
-    "from v_triple)", "from v_triple where s like '%1' or o like '%1')"
-)
+ORACLE_BODY["jsonld_file"] = ORACLE_BODY["jsonld_nodes"]
+ORACLE_BODY["textrank_by_rounds"] = ORACLE_BODY["textrank_docs"]
 ORACLE_BODY["synced_files"] = """with d as (select distinct stem from v_stem where top='pub' and kind='pdf'),
         n as (select cast(page_id as string) entity_id, unnest(['pdf','txt']) kind from pages),
         m as (select * from n where kind='txt' or entity_id not in (select stem from d))

@@ -218,8 +218,8 @@ def resource_types(spark, d):
 @query
 def wrapped_tokens(spark, d):
     return V.table(spark, d, "documents").select(
-        "doc_id", S.wrap_token(F.concat(F.lit('"\\'), "text")).alias("token"),
-        S.wrap_token(F.concat(F.lit("http://t.test/"), V.text_of("doc_id"))).alias("iri"),
+        "doc_id", S.quoted_token(F.concat(F.lit('"\\'), "text")).alias("token"),
+        S.quoted_token(F.concat(F.lit("http://t.test/"), V.text_of("doc_id"))).alias("iri"),
     )
 
 
@@ -283,7 +283,9 @@ def sections(spark, d):
 
 @query
 def sections_without_preamble(spark, d):
-    return trees.sections(V.elements(spark, d).where("elem_no > 0"))
+    """The first heading of every page is a paragraph here, and so a preamble."""
+    first = F.when(F.col("elem_no") == 0, F.lit("paragraph")).otherwise(F.col("type"))
+    return trees.sections(V.elements(spark, d).withColumn("type", first))
 
 
 @query
@@ -366,6 +368,13 @@ def textrank_docs(spark, d):
     return rank.textrank(V.table(spark, d, "documents"))
 
 
+@query
+def textrank_by_rounds(spark, d):
+    """The ranks of ``textrank_docs`` by rounds of joins."""
+    toks = rank.default_tokenizer(["doc_id"])(V.table(spark, d, "documents"))
+    return rank.textrank_by_rounds(toks, ["doc_id"], 20)
+
+
 @query
 def textrank_sections(spark, d):
     found = trees.sections(V.elements(spark, d))

@@ -47,6 +47,11 @@ def file_stem(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]+?)(\.[^./]+)?$", 1)
 
 
+def read_file_stem() -> Column:
+    """Stem of the file a row was read from; Spark gives its path percent-encoded."""
+    return file_stem(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))))
+
+
 def key_id(key: Column, kind: Column | str) -> Column:
     """Id in a store key: fourth ``/`` part, cut at the extension."""
     ext = F.concat(F.lit("."), F.lit(kind) if isinstance(kind, str) else kind)
@@ -114,7 +119,7 @@ def pdf_flag(content: Column) -> Column:
     return F.substring(content, 1, 5) == F.lit(b"%PDF-")
 
 
-def wrap_token(token: Column) -> Column:
+def quoted_token(token: Column) -> Column:
     """``<token>`` for an IRI, else a quoted literal on one line."""
     escaped = token
     for raw, written in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r")):

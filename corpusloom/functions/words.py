@@ -38,7 +38,7 @@ def stop_words(lang: str) -> list[str]:
     return StopWordsRemover.loadDefaultStopWords(LANGUAGES[lang])
 
 
-def tokens(text: Column, lang: Column | None = None, languages=("en", "fr", "de", "es")) -> Column:
+def tokens(text: Column, lang: Column | None = None, languages=tuple(LANGUAGES)) -> Column:
     """Lower-cased words of a text with every stop word or punctuation run
     replaced by ``BREAK``.
 

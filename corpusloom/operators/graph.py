@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.scalars import compact_iri, wrap_token
+from corpusloom.functions.scalars import compact_iri, quoted_token
 from corpusloom.operators.running import running_total
 
 
@@ -84,7 +84,7 @@ def compact_triples(triples: DataFrame, context: dict[str, str]) -> DataFrame:
 
 def ntriples_lines(triples: DataFrame) -> DataFrame:
     """One ``s p o .`` line per triple."""
-    parts = [wrap_token(F.col(c)) for c in ("s", "p", "o")]
+    parts = [quoted_token(F.col(c)) for c in ("s", "p", "o")]
     return triples.select(F.concat_ws(" ", *parts, F.lit(".")).alias("value"))
 
 

@@ -16,9 +16,6 @@ UNITS = 10**12
 DAMPING_PERCENT = 85
 REACH = 3
 
-#: Documents with more characters than this are ranked by rounds of joins.
-ROW_CHARS = 1_000_000
-
 
 def _long(value) -> Column:
     return F.lit(value).cast("long")
@@ -326,28 +323,13 @@ def textrank(
     rounds: int = 20,
     reach: int = REACH,
     tokenizer: Callable[[DataFrame], DataFrame] | None = None,
-    row_chars: int = ROW_CHARS,
-    largest: int | None = None,
 ) -> DataFrame:
     """Key phrases of ``docs(keys, text[, lang])`` by a rank over co-occurring words.
 
-    Documents of up to ``row_chars`` characters are ranked inside their rows, larger
-    ones by rounds of joins; both give the same numbers. Whether there are larger
-    ones is looked up first, unless ``largest`` says how many characters a document
-    can have. A document without phrases gives no rows.
+    Every document is ranked inside its row, whatever its size; ``textrank_by_rounds`` gives the
+    same numbers by joins. A document without phrases gives no rows.
     """
-    tokenize = tokenizer or default_tokenizer(keys)
-    is_large = F.length("text") > row_chars
-    if largest is None:
-        any_large = not docs.where(is_large).isEmpty()
-    else:
-        any_large = largest > row_chars
-    if not any_large:
-        return textrank_in_rows(tokenize(docs), keys, k, rounds, reach)
-    in_rows = textrank_in_rows(tokenize(docs.where(~is_large)), keys, k, rounds, reach)
-    return in_rows.unionByName(
-        textrank_by_rounds(tokenize(docs.where(is_large)), keys, k, rounds, reach)
-    )
+    return textrank_in_rows((tokenizer or default_tokenizer(keys))(docs), keys, k, rounds, reach)
 
 
 def textrank_sections(

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.functions.scalars import file_stem
+from corpusloom.functions.scalars import read_file_stem
 from corpusloom.operators.corpus import entities_of
 from corpusloom.operators.graph import parse_ntriples
 
@@ -25,9 +25,13 @@ def _variants(spark: SparkSession, path: str, glob: str | None = None) -> DataFr
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """Records of the ``@graph`` of JSON-LD files, one VARIANT each."""
-    graph = F.try_variant_get("v", '$["@graph"]', "array<variant>")
-    return _variants(spark, path).select(F.explode(graph).alias("record"))
+    """Records of the ``@graph`` of JSON-LD files, one VARIANT each.
+
+    Only a record has to fit in a VARIANT, so a file may be of any size. A file that is
+    cut off or no JSON raises.
+    """
+    reader = spark.read.schema("`@graph` array<variant>").option("multiLine", True).option("mode", "FAILFAST")
+    return reader.json(path).select(F.explode("@graph").alias("record"))
 
 
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
@@ -38,7 +42,7 @@ def read_corpus(spark: SparkSession, path: str) -> DataFrame:
 def read_parsed_docs(spark: SparkSession, folder: str) -> DataFrame:
     """Parse trees ``(doc_id, doc VARIANT)``; the id is the file stem."""
     return _variants(spark, folder, "*.json").select(
-        file_stem(F.col("_metadata.file_path")).alias("doc_id"), F.col("v").alias("doc")
+        read_file_stem().alias("doc_id"), F.col("v").alias("doc")
     )
 
 
@@ -46,7 +50,7 @@ def read_texts(spark: SparkSession, folder: str) -> DataFrame:
     """Whole text files ``(doc_id, text)``."""
     reader = spark.read.option("pathGlobFilter", "*.txt").option("recursiveFileLookup", True)
     return reader.text(folder, wholetext=True).select(
-        file_stem(F.col("_metadata.file_path")).alias("doc_id"), F.col("value").alias("text")
+        read_file_stem().alias("doc_id"), F.col("value").alias("text")
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from corpusloom.functions.scalars import file_stem
+from corpusloom.functions.scalars import read_file_stem
 from corpusloom.operators.rank import textrank
 
 
@@ -25,7 +25,7 @@ def text_stream(
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.load(folder).select(
-        file_stem(F.col("_metadata.file_path")).alias("doc_id"), F.col("value").alias("text")
+        read_file_stem().alias("doc_id"), F.col("value").alias("text")
     )
 
 

@@ -85,8 +85,12 @@ def test_both_ways_agree(spark, rows):
     in_rows = rank.textrank_in_rows(toks, ["doc_id"], 5, rounds=6)
     by_rounds = rank.textrank_by_rounds(toks, ["doc_id"], 5, rounds=6, cut_every=4)
     assert rows(in_rows) == rows(by_rounds)
-    mixed = rank.textrank(docs(spark), k=5, rounds=6, row_chars=30)
-    assert rows(mixed) == rows(in_rows)
+    assert rows(rank.textrank(docs(spark), k=5, rounds=6)) == rows(in_rows)
+
+
+def test_every_language_has_its_stop_words(spark):
+    frame = spark.createDataFrame([(1, "il gatto e la casa della nonna", "it")], "doc_id long, text string, lang string")
+    assert [r["phrase"] for r in rank.candidate_phrases(frame).collect()] == ["gatto", "casa", "nonna"]
 
 
 def test_rank_properties(spark):

@@ -34,6 +34,21 @@ def corpus_file(tmp_path):
     return str(path)
 
 
+def test_cut_corpus_file_raises(spark, tmp_path):
+    (tmp_path / "cut.json").write_text('{"@graph":[{"@id":"a"},{"@id":')
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        readers.read_corpus(spark, str(tmp_path)).collect()
+
+
+def test_one_id_for_a_file_with_blank_and_accent(spark, tmp_path):
+    (tmp_path / "my été.txt").write_text("x")
+    (tmp_path / "my été.json").write_text('{"pages":[]}')
+    assert readers.read_texts(spark, str(tmp_path)).first()["doc_id"] == "my été"
+    assert readers.read_parsed_docs(spark, str(tmp_path)).first()["doc_id"] == "my été"
+    path = readers.scan_files(spark, str(tmp_path), "txt").first()["path"]
+    assert path.endswith("/my été.txt")
+
+
 def test_read_corpus(spark, rows, corpus_file):
     entities = readers.read_corpus(spark, corpus_file)
     assert corpus.corpus_size(entities).first()["n"] == 5

@@ -16,26 +16,25 @@ def docs(spark, *texts_):
     return spark.createDataFrame(list(enumerate(texts_)), "doc_id long, text string")
 
 
-def by_hand(text, keep_tail=False):
-    """The paragraph rule, written as a loop."""
-    buf, grafs = [], []
-    for line in text.split("\n"):
-        buf.append(line.strip())
-        if not buf[-1]:
-            grafs.append(" ".join(buf).strip().replace("- ", "") + "\n")
-            buf = []
-    if keep_tail and " ".join(buf).strip():
-        grafs.append(" ".join(buf).strip().replace("- ", "") + "\n")
-    return grafs
-
-
-CASES = [TEXT, "", "\n", "one line", "x\n\n", "\n\n\n", "a\n \nb\n\t\nc", "- \n\n-\n\n", "é - \x1f\n\nz"]
+#: Text, its paragraphs, and the tail that only ``keep_tail`` adds.
+PARAGRAPHS = [
+    (TEXT, ["Interest\n", "a b\n", "\n"], ["tail\n"]),
+    ("", ["\n"], []),
+    ("\n", ["\n", "\n"], []),
+    ("one line", [], ["one line\n"]),
+    ("x\n\n", ["x\n", "\n"], []),
+    ("\n\n\n", ["\n", "\n", "\n", "\n"], []),
+    ("a\n \nb\n\t\nc", ["a\n", "b\n"], ["c\n"]),
+    ("- \n\n-\n\n", ["-\n", "-\n", "\n"], []),
+    ("é - \x1f\n\nz", ["é -\n"], ["z\n"]),
+]
+CASES = [case[0] for case in PARAGRAPHS]
 
 
 @pytest.mark.parametrize("keep_tail", [False, True])
 def test_paragraphs(spark, keep_tail):
     frame = docs(spark, *CASES)
-    want = {(i, n): p for i, t in enumerate(CASES) for n, p in enumerate(by_hand(t, keep_tail))}
+    want = {(i, n): p for i, (_, full, tail) in enumerate(PARAGRAPHS) for n, p in enumerate(full + tail * keep_tail)}
     got = texts.paragraphs(frame, keep_tail=keep_tail).collect()
     assert {(r.doc_id, r.par_no): r.text for r in got} == want
 
@@ -47,7 +46,7 @@ def test_paragraphs_of_lines_agree(spark, rows):
 
 def test_document_text(spark):
     got = {r.doc_id: (r.text, r.reason) for r in texts.document_texts(docs(spark, TEXT, "x", None)).collect()}
-    assert got == {0: ("\n".join(by_hand(TEXT)), None), 1: ("", "no paragraph"), 2: (None, "no text")}
+    assert got == {0: ("\n".join(PARAGRAPHS[0][1]), None), 1: ("", "no paragraph"), 2: (None, "no text")}
 
 
 def test_strip_takes_all_white_space(spark):
