@@ -39,7 +39,7 @@ PASSAGE = 400
 PER_LANGUAGE = 2000
 LANGUAGES = 500
 #: Characters scored at a time.
-GROUP = 1 << 20
+GROUP = 1 << 18
 
 
 @cache

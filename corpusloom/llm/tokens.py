@@ -15,9 +15,9 @@ import numpy as np
 from tokenizers import Tokenizer
 
 #: Units a worker keeps.
-KEPT = 1 << 21
+KEPT = 1 << 19
 #: Characters of a group of texts; a longer text is a group of its own.
-GROUP = 1 << 21
+GROUP = 1 << 19
 #: Units of more characters are not looked up by their hash.
 LONGEST = 64
 

@@ -149,11 +149,16 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def token_counts(rows: DataFrame) -> DataFrame:
     """``token, n1, n0``: documents of either label that hold a token; near copies count once."""
 
+    def run(batches):
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):  # the tokens of few documents at a time
+                yield act(whole.slice(at, 256))
+
     def act(batch):
         docs = batch.column(1).to_pylist()
         return pa.RecordBatch.from_arrays([batch.column(2), pa.array(map(sketch, docs), pa.int64()), pa.array([list(features(t)) for t in docs], pa.list_(pa.string()))], ["toxic", "sketch", "tokens"])
 
-    found = by_batches(rows, act, "toxic int, sketch long, tokens array<string>").dropDuplicates(["toxic", "sketch"])
+    found = rows.mapInArrow(run, "toxic int, sketch long, tokens array<string>").dropDuplicates(["toxic", "sketch"])
     return found.select("toxic", F.explode("tokens").alias("token")).groupBy("token").agg(
         F.sum("toxic").cast("double").alias("n1"), F.sum(1 - F.col("toxic")).cast("double").alias("n0")
     )
