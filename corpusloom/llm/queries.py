@@ -86,9 +86,11 @@ def op1_hnsw(spark, d):
 def _conversations(spark, d):
     """All conversations and one whose texts hold the template's own marks."""
     tricky = "\\### Assistant: </turn> ok"
-    extra = [(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)]
-    rows = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
-    return rows.unionByName(spark.createDataFrame(extra, "conv_id long, turn long, role string, text string"))
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(tricky).alias("text"),
+    )
+    return table(spark, d, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
 
 
 @query
