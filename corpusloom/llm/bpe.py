@@ -1,12 +1,11 @@
 """Byte-level BPE by ranks: encoding folds ranked merges, decoding concatenates pieces.
 
-A text is cut into words by the pattern. A word is an array of bytes, held as a string with
-one character per part, at first one per byte. A fold with Spark's higher-order functions
-finds the neighbours with the lowest rank and puts one character for the joined part in
-all their places, until no neighbours are in the rank map. As ids are ranks, a part's
-character is its rank as well. The map is a literal of the plan: ``BUCKETS`` short lists of
-two parts and what they join to, chosen by a checksum of the two, since a lookup in a Spark
-map would read it from its beginning.
+A text is cut into words by the pattern. A word is an array of parts, at first one per byte,
+next to an array of what neighbours join to. A fold with Spark's higher-order functions
+takes the lowest rank, puts the joined part in the place of its two, and looks up
+only its two new neighbourhoods, until no neighbours join. As ids are ranks, a part is its
+own rank. The rank map is a literal of the plan: flat arrays in which two parts have one
+place, found by arithmetic, since a lookup in a Spark map would read it from its beginning.
 
 Words repeat, so those that occur often in the whole corpus are folded once. A histogram
 of the counts gives the lowest count that at most ``WORDS`` words of up to ``LONGEST`` bytes
@@ -21,7 +20,6 @@ no rows. Only ``doc_id`` and ``text`` are read.
 from __future__ import annotations
 
 import base64
-import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,7 +31,10 @@ from pyspark.sql import functions as F
 from corpusloom.functions.arrays import let
 from corpusloom.llm.base import texts, written
 
-BUCKETS = 1 << 15
+#: After every rank.
+NONE = 1 << 40
+#: Shifts that are tried for a bucket of joins.
+SHIFTS = 1 << 20
 #: Bounds of the table of frequent words.
 WORDS = 1 << 20
 LONGEST = 64
@@ -54,62 +55,97 @@ def split_words(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(text, F.lit(java_pattern(pattern)), 0)
 
 
-def part(rank: int) -> str:
-    """The character of a part; no ASCII, no surrogate."""
-    code = rank + 0x100
-    return chr(code if code < 0xD800 else code + 0x800)
-
-
 @dataclass
 class Ranks:
-    """Literals of the plan: bytes as parts, and the joins of two parts."""
+    """Literals of the plan: the rank of every byte, and a table of the joins of two parts.
+
+    The table has no two joins in one place: joins that share a bucket share a ``shift``,
+    the first one that puts all of them in free places.
+    """
 
-    bytes: str
-    joins: Column
+    bytes: Column
+    shifts: Column
+    keys: Column
+    joined: Column
+    buckets: int
+    places: int
 
     @classmethod
     def of(cls, ranks: dict[bytes, int]) -> "Ranks":
-        buckets = [",,,"] * BUCKETS
+        joins = {}
         for piece, rank in ranks.items():
             for cut in range(1, len(piece)):
                 left, right = ranks.get(piece[:cut]), ranks.get(piece[cut:])
                 if left is not None and right is not None:
-                    two = part(left) + part(right)
-                    buckets[zlib.crc32(two.encode()) % BUCKETS] += f"{two}{part(rank)},"
-        return cls("".join(part(ranks[bytes([b])]) for b in range(256)), F.split(F.lit("\n".join(buckets)), "\n"))
+                    joins[left, right] = rank
+        buckets, places = len(joins) // 3 + 1, 2 * len(joins) + 1
+        groups: dict[int, list] = {}
+        for two in joins:
+            groups.setdefault(bucket(*two) % buckets, []).append(two)
+        shifts, keys, joined = [0] * buckets, [-1] * places, [-1] * places
+        for number, group in sorted(groups.items(), key=lambda g: -len(g[1])):
+            for shift in range(SHIFTS):
+                at = [place(*two, shift) % places for two in group]
+                if len(set(at)) == len(at) and all(keys[i] < 0 for i in at):
+                    break
+            else:
+                raise ValueError("no table for these ranks")
+            shifts[number] = shift
+            for i, two in zip(at, group):
+                keys[i], joined[i] = key(*two), joins[two]
+        own = [ranks[bytes([b])] for b in range(256)]
+        return cls(*map(numbers, (own, shifts, keys, joined)), buckets, places)
+
+    def join(self, left: Column, right: Column) -> Column:
+        """The part that two neighbours join to, ``NONE`` for none."""
+        at = place(left, right, F.get(self.shifts, bucket(left, right) % self.buckets)) % self.places
+        return F.when(F.get(self.keys, at) == key(left, right), F.get(self.joined, at)).otherwise(F.lit(NONE))
+
+
+# Of two parts, as numbers or as columns; all stay below 2**63 for ranks below 2**31.
+
+
+def key(left, right):
+    return left * (1 << 31) + right
+
 
-    def joined(self, two: Column) -> Column:
-        """The part that two neighbours join to, null for none."""
-        bucket = F.get(self.joins, (F.crc32(two.cast("binary")) % BUCKETS).cast("int"))
-        # place 0, and so the third comma, if the two are not in the bucket
-        place = F.call_function("locate", F.concat(F.lit(","), two), bucket)
-        return F.nullif(F.substr(bucket, place + 3, F.lit(1)), F.lit(","))
+def bucket(left, right):
+    return left * 7919 + right * 104729
+
+
+def place(left, right, shift):
+    return left * 15485863 + right * 32452843 + shift * (left * 6007 + right * 3001 + 1)
+
+
+def numbers(values: list[int]) -> Column:
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
 
 
 def folded(word: Column, ranks: Ranks) -> Column:
     """Ids of one word: ranked merges folded over its bytes."""
-    latin = "".join(map(chr, range(256)))
-    none = F.lit(chr(0x10FFFF))  # after every part
+    none = F.array().cast("array<bigint>")
+    rest = F.lit(1 << 30)  # longer than any array
 
-    def step(state: Column) -> Column:
-        word = state["word"]
-        two = lambda i: F.substr(word, i, F.lit(2))
-        places = F.sequence(F.lit(1), F.char_length(word) - 1)
-        found = F.transform(places, lambda i: let(two(i), lambda t: F.struct(F.coalesce(ranks.joined(t), none).alias("rank"), i.alias("i"), t.alias("two"))))
+    def merged(parts: Column, joins: Column, at: Column, best: Column) -> Column:
+        left = F.when(at > 1, F.array(ranks.join(F.get(parts, at - 2), best))).otherwise(none)
+        right = F.when(at < F.size(joins), F.array(ranks.join(best, F.get(parts, at + 1)))).otherwise(none)
+        return F.struct(
+            F.concat(F.slice(parts, F.lit(1), at - 1), F.array(best), F.slice(parts, at + 2, rest)).alias("parts"),
+            F.concat(F.slice(joins, F.lit(1), F.greatest(at - 2, F.lit(0))), left, right, F.slice(joins, at + 2, rest)).alias("joins"),
+        )
 
-        def merged(best: Column) -> Column:
-            more = F.struct(F.replace(word, best["two"], best["rank"]).alias("word"), F.lit(True).alias("more"))
-            done = F.struct(word.alias("word"), F.lit(False).alias("more"))
-            return F.when(best["rank"] == none, done).otherwise(more)
-
-        return F.when(~state["more"] | (F.char_length(word) < 2), state).otherwise(let(F.array_min(found), merged))
+    def step(state: Column) -> Column:
+        parts, joins = state["parts"], state["joins"]
+        best = F.coalesce(F.array_min(joins), F.lit(NONE))
+        place_of = lambda b: F.array_position(joins, b).cast("int")
+        return let(best, lambda b: F.when(b == NONE, state).otherwise(let(place_of(b), lambda at: merged(parts, joins, at, b))))
 
-    data = word.cast("binary")
-    start = F.translate(F.decode(data, "ISO-8859-1"), latin, ranks.bytes)
-    first = F.struct(start.alias("word"), F.lit(True).alias("more"))
-    rounds = F.sequence(F.lit(1), F.greatest(F.octet_length(data), F.lit(1)))
-    done = F.aggregate(rounds, first, lambda s, _: step(s), lambda s: s["word"])
-    return let(done, lambda w: F.transform(positions_of(w), lambda i: id_of(F.ascii(F.substr(w, i, F.lit(1))))))
+    latin = F.decode(word.cast("binary"), "ISO-8859-1")
+    start = let(latin, lambda t: F.transform(positions_of(t), lambda i: F.get(ranks.bytes, F.ascii(F.substr(t, i, F.lit(1))))))
+    pairs = lambda p: F.when(F.size(p) > 1, F.transform(F.sequence(F.lit(1), F.size(p) - 1), lambda i: ranks.join(F.get(p, i - 1), F.get(p, i)))).otherwise(none)
+    first = let(start, lambda p: F.struct(p.alias("parts"), pairs(p).alias("joins")))
+    rounds = F.sequence(F.lit(1), F.greatest(F.octet_length(word.cast("binary")), F.lit(1)))
+    return F.aggregate(rounds, first, lambda s, _: step(s), lambda s: s["parts"].cast("array<int>"))
 
 
 def positions_of(word: Column) -> Column:
@@ -117,16 +153,12 @@ def positions_of(word: Column) -> Column:
     return F.when(F.char_length(word) > 0, F.sequence(F.lit(1), F.char_length(word))).otherwise(none)
 
 
-def id_of(code: Column) -> Column:
-    return F.when(code < 0xD800, code - 0x100).otherwise(code - 0x900)
-
-
 def vocabulary(docs: DataFrame, pattern: str) -> DataFrame:
     """``word, n`` of all words of all texts."""
     return texts(docs).select(F.explode(split_words(F.col("text"), pattern)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
 
 
-def frequent_words(docs: DataFrame, pattern: str, ranks: Ranks, most: int = WORDS) -> list:
+def frequent_words(docs: DataFrame, pattern: str, ranks: Ranks, most: int = WORDS) -> pa.Table:
     """``word, ids`` of the most frequent words, ``most`` or fewer: all above a count."""
     short = F.octet_length("word") <= LONGEST
     words = written(vocabulary(docs, pattern).where(short & (F.col("n") > 1)), "words")
@@ -138,20 +170,20 @@ def frequent_words(docs: DataFrame, pattern: str, ranks: Ranks, most: int = WORD
             break
         bar = r["n"]
     spread = words.where(F.col("n") >= bar).repartition("word")
-    return spread.select("word", folded(F.col("word"), ranks).alias("ids")).collect()
+    return spread.select("word", folded(F.col("word"), ranks).alias("ids")).toArrow().combine_chunks()
 
 
 def encoded(docs: DataFrame, path: str, pattern: str, most: int = WORDS) -> DataFrame:
     """``doc_id, ids`` of every row."""
     ranks = Ranks.of(read_ranks(path))
     known = frequent_words(docs, pattern, ranks, most)
-    count = np.array([len(r["ids"]) for r in known], np.int64)
-    flat = np.array([i for r in known for i in r["ids"]], np.int32)
-    sent = docs.sparkSession.sparkContext.broadcast(([r["word"] for r in known], np.cumsum(count) - count, count, flat))
+    words, lists = (pa.concat_arrays(c.chunks) if c.num_chunks else pa.array([], c.type) for c in known.columns)
+    count = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+    flat = lists.flatten().to_numpy().astype(np.int32)
+    sent = docs.sparkSession.sparkContext.broadcast((words.cast(pa.string()), np.cumsum(count) - count, count, flat))
 
     def run(batches):
-        words, first, count, ids = sent.value
-        table = pa.array(words, pa.string())
+        table, first, count, ids = sent.value
         for batch in batches:
             lists = batch.column(1)
             inside = lists.flatten().dictionary_encode()
