@@ -38,6 +38,8 @@ SHIFTS = 1 << 20
 #: Bounds of the table of frequent words.
 WORDS = 1 << 20
 LONGEST = 64
+#: Words of the documents that a task looks up at a time; a longer document is looked up alone.
+STRETCH = 1 << 18
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -170,7 +172,25 @@ def frequent_words(docs: DataFrame, pattern: str, ranks: Ranks, most: int = WORD
             break
         bar = r["n"]
     spread = words.where(F.col("n") >= bar).repartition("word")
-    return spread.select("word", folded(F.col("word"), ranks).alias("ids")).toArrow().combine_chunks()
+    return spread.select("word", folded(F.col("word"), ranks).alias("ids")).toArrow()
+
+
+def looked_up(at: np.ndarray, ends: np.ndarray, bounds: np.ndarray, ids: np.ndarray) -> tuple[pa.ListArray, pa.Array]:
+    """Ids of documents whose words stand at ``at`` in the table, and the bounds of their missing words.
+
+    A missing word has -1 in ``at``; a document's k-th one, from 0, stands as -(k + 1) among its ids.
+    """
+    missing = at < 0
+    before = np.r_[0, np.cumsum(missing)]
+    hole = before[:-1] - np.repeat(before[ends[:-1]], np.diff(ends))
+    size = np.where(missing, 1, bounds[at + 1] - bounds[at])
+    upto = np.r_[0, np.cumsum(size)]
+    inner = np.repeat(missing, size)
+    place = np.repeat(np.where(missing, 0, bounds[at]) - upto[:-1], size) + np.arange(upto[-1])
+    out = np.empty(upto[-1], np.int32)
+    out[~inner] = ids[place[~inner]]
+    out[inner] = -(hole[missing] + 1)
+    return pa.ListArray.from_arrays(pa.array(upto[ends].astype(np.int32)), pa.array(out)), pa.array(before[ends].astype(np.int32))
 
 
 def encoded(docs: DataFrame, path: str, pattern: str, most: int = WORDS) -> DataFrame:
@@ -178,38 +198,26 @@ def encoded(docs: DataFrame, path: str, pattern: str, most: int = WORDS) -> Data
     ranks = Ranks.of(read_ranks(path))
     known = frequent_words(docs, pattern, ranks, most)
     words, lists = (pa.concat_arrays(c.chunks) if c.num_chunks else pa.array([], c.type) for c in known.columns)
-    count = np.diff(lists.offsets.to_numpy()).astype(np.int64)
-    flat = lists.flatten().to_numpy().astype(np.int32)
-    sent = docs.sparkSession.sparkContext.broadcast((words.cast(pa.string()), np.cumsum(count) - count, count, flat))
+    del known
+    bounds = lists.offsets.to_numpy() if len(lists) else np.zeros(1, np.int32)
+    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int32, copy=False)
+    sent = docs.sparkSession.sparkContext.broadcast((words.cast(pa.string()), bounds - bounds[0], flat))
 
     def run(batches):
-        table, first, count, ids = sent.value
+        table, bounds, ids = sent.value
         for batch in batches:
             lists = batch.column(1)
             inside = lists.flatten().dictionary_encode()
-            at = pc.index_in(inside.dictionary, value_set=table)
-            at = pc.fill_null(at, -1).to_numpy(zero_copy_only=False).astype(np.int64)
-            at = at[inside.indices.to_numpy(zero_copy_only=False)] if len(at) else np.zeros(0, np.int64)
-            missing = at < 0
+            known = pc.fill_null(pc.index_in(inside.dictionary, value_set=table), -1).to_numpy(zero_copy_only=False)
             ends = lists.offsets.to_numpy().astype(np.int64)
             ends = ends - ends[0]
-            before = np.r_[0, np.cumsum(missing)]
-            # the k-th missing word of a document stands as -(k + 1)
-            hole = before[:-1] - np.repeat(before[ends[:-1]], np.diff(ends))
-            size = np.where(missing, 1, count[at]) if len(count) else np.ones(len(at), np.int64)
-            upto = np.r_[0, np.cumsum(size)]
-            begin = np.where(missing, 0, first[at]) if len(count) else np.zeros(len(at), np.int64)
-            out = np.empty(upto[-1], np.int32)
-            place = np.repeat(begin - upto[:-1], size) + np.arange(upto[-1])
-            inner = np.repeat(missing, size)
-            out[~inner] = ids[place[~inner]]
-            out[inner] = -(hole[missing] + 1)
-            rest = inside.indices.filter(pa.array(missing))
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0),
-                pa.ListArray.from_arrays(pa.array(upto[ends].astype(np.int32)), pa.array(out)),
-                pa.ListArray.from_arrays(pa.array(before[ends].astype(np.int32)), inside.dictionary.take(rest)),
-            ], ["doc_id", "ids", "missing"])
+            cuts = np.r_[np.unique(ends[:-1] // STRETCH, return_index=True)[1], len(batch)]
+            for a, b in zip(cuts.tolist(), cuts[1:].tolist()):
+                part = inside.slice(ends[a], ends[b] - ends[a])
+                at = known[part.indices.to_numpy(zero_copy_only=False)]
+                found, missing = looked_up(at, ends[a : b + 1] - ends[a], bounds, ids)
+                rest = pa.ListArray.from_arrays(missing, part.dictionary.take(part.indices.filter(pa.array(at < 0))))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), found, rest], ["doc_id", "ids", "missing"])
 
     split = texts(docs).select("doc_id", split_words(F.col("text"), pattern).alias("words"))
     found = split.mapInArrow(run, "doc_id long, ids array<int>, missing array<string>")
