@@ -65,10 +65,7 @@ class Ranks:
     the first one that puts all of them in free places.
     """
 
-    bytes: Column
-    shifts: Column
-    keys: Column
-    joined: Column
+    tables: Column
     buckets: int
     places: int
 
@@ -96,12 +93,13 @@ class Ranks:
             for i, two in zip(at, group):
                 keys[i], joined[i] = key(*two), joins[two]
         own = [ranks[bytes([b])] for b in range(256)]
-        return cls(*map(numbers, (own, shifts, keys, joined)), buckets, places)
+        named = {"bytes": own, "shifts": shifts, "keys": keys, "joined": joined}
+        return cls(F.struct(*(numbers(values).alias(name) for name, values in named.items())), buckets, places)
 
-    def join(self, left: Column, right: Column) -> Column:
-        """The part that two neighbours join to, ``NONE`` for none."""
-        at = place(left, right, F.get(self.shifts, bucket(left, right) % self.buckets)) % self.places
-        return F.when(F.get(self.keys, at) == key(left, right), F.get(self.joined, at)).otherwise(F.lit(NONE))
+    def join(self, tables: Column, left: Column, right: Column) -> Column:
+        """The part that two neighbours join to, ``NONE`` for none; ``tables`` is a variable that holds them."""
+        at = place(left, right, F.get(tables["shifts"], bucket(left, right) % self.buckets)) % self.places
+        return F.when(F.get(tables["keys"], at) == key(left, right), F.get(tables["joined"], at)).otherwise(F.lit(NONE))
 
 
 # Of two parts, as numbers or as columns; all stay below 2**63 for ranks below 2**31.
@@ -124,13 +122,20 @@ def numbers(values: list[int]) -> Column:
 
 
 def folded(word: Column, ranks: Ranks) -> Column:
-    """Ids of one word: ranked merges folded over its bytes."""
+    """Ids of one word: ranked merges folded over its bytes.
+
+    The tables are bound to a variable, so that they stand in the plan, and in its text, once.
+    """
+    return let(ranks.tables, lambda tables: _folded(word, ranks, tables))
+
+
+def _folded(word: Column, ranks: Ranks, tables: Column) -> Column:
     none = F.array().cast("array<bigint>")
     rest = F.lit(1 << 30)  # longer than any array
 
     def merged(parts: Column, joins: Column, at: Column, best: Column) -> Column:
-        left = F.when(at > 1, F.array(ranks.join(F.get(parts, at - 2), best))).otherwise(none)
-        right = F.when(at < F.size(joins), F.array(ranks.join(best, F.get(parts, at + 1)))).otherwise(none)
+        left = F.when(at > 1, F.array(ranks.join(tables, F.get(parts, at - 2), best))).otherwise(none)
+        right = F.when(at < F.size(joins), F.array(ranks.join(tables, best, F.get(parts, at + 1)))).otherwise(none)
         return F.struct(
             F.concat(F.slice(parts, F.lit(1), at - 1), F.array(best), F.slice(parts, at + 2, rest)).alias("parts"),
             F.concat(F.slice(joins, F.lit(1), F.greatest(at - 2, F.lit(0))), left, right, F.slice(joins, at + 2, rest)).alias("joins"),
@@ -143,8 +148,8 @@ def folded(word: Column, ranks: Ranks) -> Column:
         return let(best, lambda b: F.when(b == NONE, state).otherwise(let(place_of(b), lambda at: merged(parts, joins, at, b))))
 
     latin = F.decode(word.cast("binary"), "ISO-8859-1")
-    start = let(latin, lambda t: F.transform(positions_of(t), lambda i: F.get(ranks.bytes, F.ascii(F.substr(t, i, F.lit(1))))))
-    pairs = lambda p: F.when(F.size(p) > 1, F.transform(F.sequence(F.lit(1), F.size(p) - 1), lambda i: ranks.join(F.get(p, i - 1), F.get(p, i)))).otherwise(none)
+    start = let(latin, lambda t: F.transform(positions_of(t), lambda i: F.get(tables["bytes"], F.ascii(F.substr(t, i, F.lit(1))))))
+    pairs = lambda p: F.when(F.size(p) > 1, F.transform(F.sequence(F.lit(1), F.size(p) - 1), lambda i: ranks.join(tables, F.get(p, i - 1), F.get(p, i)))).otherwise(none)
     first = let(start, lambda p: F.struct(p.alias("parts"), pairs(p).alias("joins")))
     rounds = F.sequence(F.lit(1), F.greatest(F.octet_length(word.cast("binary")), F.lit(1)))
     return F.aggregate(rounds, first, lambda s, _: step(s), lambda s: s["parts"].cast("array<int>"))
@@ -221,7 +226,7 @@ def encoded(docs: DataFrame, path: str, pattern: str, most: int = WORDS) -> Data
 
     split = texts(docs).select("doc_id", split_words(F.col("text"), pattern).alias("words"))
     found = split.mapInArrow(run, "doc_id long, ids array<int>, missing array<string>")
-    fills = F.transform("missing", lambda w: folded(w, ranks))
+    fills = let(ranks.tables, lambda t: F.transform("missing", lambda w: _folded(w, ranks, t)))
     whole = let(fills, lambda f: F.flatten(F.transform("ids", lambda x: F.when(x < 0, F.get(f, -x - 1)).otherwise(F.array(x)))))
     return found.select("doc_id", F.when(F.size("missing") == 0, F.col("ids")).otherwise(whole).alias("ids"))
 
