@@ -1,0 +1,70 @@
+"""The near-copy stage against all pairs by exact five-word Jaccard similarity."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline as P
+from corpusloom.llm import exact, near
+
+SF_DIR = "/root/testdata/sf0.001"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def plain_shingles(text):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def plain_kept(rows):
+    """Smallest ``doc_id`` of each class of all pairs at 0.8 or more."""
+    sets, root = [(d, plain_shingles(t)) for d, t in rows], {d: d for d, _ in rows}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    for i, (d, one) in enumerate(sets):
+        for e, other in sets[:i]:
+            if len(one & other) >= 0.8 * len(one | other):
+                a, b = sorted((find(d), find(e)))
+                root[b] = a
+    return {find(d) for d in root}
+
+
+def planted():
+    """Copies with a few changed words, chains of them, short and empty texts."""
+    rng = random.Random(1)
+    word = lambda: f"w{rng.randrange(3000)}"
+    out = ["", None, "a b c", "A  b c", "a b d", "a b c d e f"]
+    for size in (30, 60, 200, 900) * 6:
+        text = [word() for _ in range(size)]
+        out.append(" ".join(text))
+        for _ in range(4):  # each from the one before: the ends of a chain can be below 0.8
+            for at in rng.sample(range(size), max(1, size * 15 // 1000)):
+                text[at] = word()
+            out.append(" ".join(text))
+    return list(enumerate(out))
+
+
+@pytest.mark.parametrize("source", ["planted", "table"])
+def test_near_copies_against_all_pairs(spark, source):
+    if source == "planted":
+        docs = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in planted()], SCHEMA)
+    else:
+        docs = exact.without_exact_copies(spark.read.parquet(f"{SF_DIR}/documents.parquet"))
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    want = plain_kept(rows)
+    assert len(want) < len(rows)
+    kept = dict(P.STAGES)["simhash_near_dedup"](spark, docs, SF_DIR)
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(want)
+
+
+def test_rows_without_an_id_and_repeated_ids(spark):
+    rows = [(None, "one two three", 0), (None, "One two  three", 1), (5, "four five six", 2), (5, "seven", 3), (6, "FOUR five six", 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, Text string, keys int")
+    assert sorted(r["keys"] for r in near.without_near_copies(docs).collect() if r["doc_id"]) == [2, 3]
+    assert near.without_near_copies(docs).where(F.col("doc_id").isNull()).count() == 1
