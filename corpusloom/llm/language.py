@@ -8,9 +8,10 @@ the first by a hash of document and passage. As the layers are linear, a text's
 are the average of one row of numbers per subword, so whole texts of any length are one pass.
 
 Calibration uses a part of the sample that is not trained on: a temperature for the
-scores, and two thresholds for rejection. The first is the lowest score above which the
-languages of calibration passages are right as often as asked for. The second is on the
-share of subwords that training has met, and turns away writing that is no learned language.
+scores, and two thresholds for rejection, which turn away what is no learned language. The
+first is a score that nearly all calibration passages with the right language reach, whole or
+cut short. The second is on the share of subwords that training has met. A passage under
+several languages has each of them right, so labels that disagree raise neither.
 
 A null text or one without a letter is ``und`` with score 0 and is rejected; so is every
 text if no row has a language. Repeated rows are predicted alike. Null languages and
@@ -38,6 +39,8 @@ WIDTH = 16
 PASSAGE = 400
 PER_LANGUAGE = 2000
 LANGUAGES = 500
+#: Characters of the short texts that calibration cuts from its passages.
+SHORT = (20, 80)
 #: Characters scored at a time.
 GROUP = 1 << 18
 
@@ -115,7 +118,7 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def train(passages: list[str], labels: list[str], epochs: int = 4, rate: float = 4.0, right: float = 0.99) -> Model:
+def train(passages: list[str], labels: list[str], epochs: int = 4, rate: float = 4.0, keep: float = 0.999) -> Model:
     """Fit by stochastic gradient descent; every fifth passage is for calibration only."""
     languages = sorted(set(labels))
     usable = [(p, languages.index(k)) for p, k in zip(passages, labels) if p]
@@ -154,11 +157,17 @@ def train(passages: list[str], labels: list[str], epochs: int = 4, rate: float =
     loss = lambda t: -np.log(softmax(rows * t)[np.arange(len(held)), y[held]] + 1e-12).mean()
     heat = min(np.geomspace(0.25, 64, 49), key=loss)
     p = softmax(rows * heat)
-    ok, top = p.argmax(axis=1) == y[held], p.max(axis=1)
-    order = np.argsort(-top)
-    good = np.flatnonzero(np.cumsum(ok[order]) >= right * np.arange(1, len(order) + 1))
-    # all passages good: nothing below the lowest of them is known to be wrong
-    least = 0.0 if len(good) and good[-1] == len(order) - 1 else float(top[order[good[-1]]]) if len(good) else 1.0
+    best, named = p.argmax(axis=1), {}
+    for i in have.tolist():
+        named.setdefault(usable[i][0], set()).add(usable[i][1])
+    top = [p[j, k] for j, (i, k) in enumerate(zip(held.tolist(), best.tolist())) if k in named[usable[i][0]]]
+    for i in held.tolist():  # texts may be shorter than passages
+        for most in SHORT:
+            part = subwords([usable[i][0][:most]])[0]
+            if len(part):
+                q = softmax((table[part].mean(axis=0) * heat)[None])[0]
+                top += [q.max()] if q.argmax() in named[usable[i][0]] else []
+    least = float(np.quantile(top, 1 - keep)) if top else 0.0
     share = np.add.reduceat(seen[idx].astype(np.float64), np.cumsum(n) - n) / n
     return Model(languages, (table * heat).astype(np.float32), seen, least, float(share.min()) / 2)
 
