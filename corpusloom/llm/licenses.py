@@ -1,23 +1,27 @@
 """Licence scan: a trained paragraph classifier with an unknown class and a template check.
 
-Every line of a text is a paragraph. Its features are single words and pairs of words next
+A paragraph is a line of a text, or a window of neighbouring lines up to a line without a word, as
+notices are wrapped; a window ends where it holds the words of the longest template. Its features are single words and pairs of words next
 to each other, of the words that templates use. A logistic regression over them, one against
 the rest per family, is trained by gradient descent on variants of the templates, with
 words left out, added and cut off, against a bounded sample of the corpus' own
 paragraphs. A score is calibrated on held-out variants: below the level that
 ``RIGHT`` of them reach, the family is unknown. A prediction is confirmed if the paragraph
 holds a long enough part of a template of that family in order; a known family without that is
-``unconfirmed``.
+``unconfirmed``. Where paragraphs overlap, the one that holds most words of a template counts, of
+equal ones the one of fewest lines; a line with a whole template always counts. ``line`` is its first line.
 
 Lines without a word that any weight uses have the score of the bias, which is unknown, so
-they are passed over. Null and empty texts have no paragraphs. Repeated rows repeat. An empty table
+they are passed over; so are windows with none but words of ``COMMON``. Null and empty texts have no paragraphs. Repeated rows repeat. An empty table
 gives no rows. Only ``doc_id`` and ``text`` are read.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -61,6 +65,8 @@ VARIANTS = 60
 RIGHT = 0.98
 #: Share of a template's words that a confirmed paragraph holds in order.
 SHARE = 0.6
+#: Words of templates that name no licence by themselves.
+COMMON = frozenset("a and any are as by can following for in is it may not of or that the this to under use with without you".split())
 
 
 def words_of(paragraph: str) -> list[str]:
@@ -77,31 +83,58 @@ class Model:
 
     def __post_init__(self):
         self.vocabulary = {f for f in self.features if " " not in f}
+        self.rare = self.vocabulary - COMMON
+        self.templates = {f: [words_of(t) for t in TEMPLATES[f]] for f in self.families}
+        self.longest = max(len(t) for ts in self.templates.values() for t in ts)
 
     def vector(self, words: list[str]) -> np.ndarray:
         grams = set(words) | {f"{a} {b}" for a, b in zip(words, words[1:])}
         return np.array(sorted(self.features[g] for g in grams if g in self.features), np.int64)
 
-    def judge(self, words: list[str]) -> tuple[str, float, bool]:
-        """Family, score, and whether a template confirms it."""
+    def judge(self, words: list[str]) -> tuple[str, float, int, bool]:
+        """Family, score, how many words of a template that confirms it stand there (0 if none), and whether all do."""
         at = self.vector(words)
         x = self.weights[at].sum(axis=0) / np.sqrt(max(len(at), 1)) + self.bias
         p = 1 / (1 + np.exp(-np.clip(x, -30, 30)))
         best = int(p.argmax())
         if p[best] < self.least:
-            return "unknown", float(p[best]), False
+            return "unknown", float(p[best]), 0, False
         family = self.families[best]
-        return family, float(p[best]), any(shared(words, words_of(t)) >= SHARE for t in TEMPLATES[family])
+        held = [(shared(words, t), len(t)) for t in self.templates[family]]
+        most = max((round(share * n) for share, n in held if share >= SHARE), default=0)
+        return family, float(p[best]), most, any(share == 1 for share, _ in held)
+
+    def windows(self, lines: list[list[str]]) -> Iterator[tuple[int, int, list[str]]]:
+        """First and last line and words of windows of two lines or more; their ends hold words of templates."""
+        known = [not self.vocabulary.isdisjoint(w) for w in lines]
+        rare = [not self.rare.isdisjoint(w) for w in lines]
+        for first in range(len(lines)):
+            if not known[first]:
+                continue
+            words, named = lines[first][-self.longest :], rare[first]
+            inner = 0  # words between the first line and the last
+            for last in range(first + 1, len(lines)):
+                if not lines[last] or inner >= self.longest:
+                    break
+                named = named or rare[last]
+                if named and known[last]:
+                    yield first, last, words + lines[last][: self.longest]
+                inner += len(lines[last])
+                words = words + lines[last]
 
     def scan(self, text: str) -> list[tuple[int, str, float, bool]]:
-        out = []
-        for number, line in enumerate(text.split("\n")):
-            words = words_of(line)
-            if not self.vocabulary.isdisjoint(words):
-                family, score, confirmed = self.judge(words)
-                if family != "unknown":
-                    out.append((number, family, score, confirmed))
-        return out
+        lines = [words_of(line) for line in text.split("\n")]
+        found = []
+        for first, last, words in chain(((i, i, w) for i, w in enumerate(lines) if not self.vocabulary.isdisjoint(w)), self.windows(lines)):
+            family, score, held, whole = self.judge(words)
+            if family != "unknown":
+                found.append((first, last, family, score, held, whole and first == last))
+        taken, out = set(), []
+        for first, last, family, score, held, whole in sorted(found, key=lambda x: (not x[5], -x[4], x[1] - x[0], -x[3], x[0])):
+            if whole or taken.isdisjoint(range(first, last + 1)):
+                taken.update(range(first, last + 1))
+                out.append((first, family, score, held > 0))
+        return sorted(out)
 
 
 def shared(words: list[str], template: list[str]) -> float:
