@@ -88,11 +88,12 @@ def element_text(
     )
 
 
-def pages(doc: Column) -> Column:
-    return F.try_variant_get(doc, "$.pages", "array<variant>")
+def pages(doc: Column, paged: bool = False) -> Column:
+    """The pages of a tree; ``paged`` says that ``doc`` is their list, one VARIANT each."""
+    return doc if paged else F.try_variant_get(doc, "$.pages", "array<variant>")
 
 
-def elements(doc: Column) -> Column:
+def elements(doc: Column, paged: bool = False) -> Column:
     """Top-level elements across all pages: ``array<struct<page_no, type, node>>``.
 
     Elements without a type are left out.
@@ -111,11 +112,11 @@ def elements(doc: Column) -> Column:
         )
 
     return F.filter(
-        F.flatten(F.transform(pages(doc), of_page)), lambda e: e["type"].isNotNull()
+        F.flatten(F.transform(pages(doc, paged), of_page)), lambda e: e["type"].isNotNull()
     )
 
 
-def nodes(doc: Column, max_depth: int = MAX_DEPTH) -> Column:
+def nodes(doc: Column, max_depth: int = MAX_DEPTH, paged: bool = False) -> Column:
     """Every node of a document: ``array<struct<type, text, path>>`` in tree order.
 
     ``path`` is page position, element position, then child positions; ``text``
@@ -123,7 +124,7 @@ def nodes(doc: Column, max_depth: int = MAX_DEPTH) -> Column:
     """
     roots = F.flatten(
         F.transform(
-            pages(doc),
+            pages(doc, paged),
             lambda page, p: F.transform(
                 F.coalesce(
                     F.try_variant_get(page, "$.elements", "array<variant>"),
@@ -164,7 +165,7 @@ def nodes(doc: Column, max_depth: int = MAX_DEPTH) -> Column:
     )
 
 
-def sections(doc: Column, max_depth: int = MAX_DEPTH) -> Column:
+def sections(doc: Column, max_depth: int = MAX_DEPTH, paged: bool = False) -> Column:
     """``array<struct<sec_no, title, text>>`` of one document.
 
     A heading opens a section and its text is also the start of the section's
@@ -172,7 +173,7 @@ def sections(doc: Column, max_depth: int = MAX_DEPTH) -> Column:
     matter.
     """
     texts = F.transform(
-        F.filter(elements(doc), lambda e: e["type"].isin(*SECTION_TYPES)),
+        F.filter(elements(doc, paged), lambda e: e["type"].isin(*SECTION_TYPES)),
         lambda e: F.struct(
             (e["type"] == "heading").alias("head"),
             element_text(e["node"], SECTION_TYPES, max_depth).alias("text"),
@@ -198,7 +199,9 @@ def sections(doc: Column, max_depth: int = MAX_DEPTH) -> Column:
     )
 
 
-def page_text(doc: Column, page_no: int | None = None, max_depth: int = MAX_DEPTH) -> Column:
+def page_text(
+    doc: Column, page_no: int | None = None, max_depth: int = MAX_DEPTH, paged: bool = False
+) -> Column:
     """Text of one page or of the whole document; lists are not text here."""
 
     def wanted(e: Column) -> Column:
@@ -207,7 +210,7 @@ def page_text(doc: Column, page_no: int | None = None, max_depth: int = MAX_DEPT
 
     return F.array_join(
         F.transform(
-            F.filter(elements(doc), wanted),
+            F.filter(elements(doc, paged), wanted),
             lambda e: F.concat(element_text(e["node"], PAGE_TYPES, max_depth), F.lit("\n\n")),
         ),
         "",

@@ -4,19 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.functions import trees as V
 from corpusloom.operators.running import running_total
 
 
+def _paged(docs: DataFrame) -> bool:
+    """Whether ``doc`` is a list of pages, as the reader gives it, and not one VARIANT."""
+    return isinstance(docs.schema["doc"].dataType, T.ArrayType)
+
+
 def flatten_tree(docs: DataFrame, key: str = "doc_id", max_depth: int = V.MAX_DEPTH) -> DataFrame:
     """``node(key, path, type, text)`` for trees ``(key, doc VARIANT)``."""
-    return docs.select(key, F.inline(V.nodes(F.col("doc"), max_depth)))
+    return docs.select(key, F.inline(V.nodes(F.col("doc"), max_depth, _paged(docs))))
 
 
 def tree_sections(docs: DataFrame, key: str = "doc_id", max_depth: int = V.MAX_DEPTH) -> DataFrame:
     """``section(key, sec_no, title, text)`` straight from the trees."""
-    return docs.select(key, F.inline(V.sections(F.col("doc"), max_depth)))
+    return docs.select(key, F.inline(V.sections(F.col("doc"), max_depth, _paged(docs))))
 
 
 def tree_page_text(
@@ -25,15 +31,15 @@ def tree_page_text(
     """Text of a page, or of all pages. A document without that page gives no row."""
     if page_no is not None:
         numbers = F.transform(
-            V.pages(F.col("doc")), lambda p: F.try_variant_get(p, "$.pageNumber", "int")
+            V.pages(F.col("doc"), _paged(docs)), lambda p: F.try_variant_get(p, "$.pageNumber", "int")
         )
         docs = docs.where(F.array_contains(numbers, page_no))
-    return docs.select(key, V.page_text(F.col("doc"), page_no, max_depth).alias("text"))
+    return docs.select(key, V.page_text(F.col("doc"), page_no, max_depth, _paged(docs)).alias("text"))
 
 
 def tree_elements(docs: DataFrame, key: str = "doc_id", max_depth: int = V.MAX_DEPTH) -> DataFrame:
     """``element(key, page_no, elem_no, type, text)`` of trees."""
-    return docs.select(key, F.posexplode(V.elements(F.col("doc"))).alias("elem_no", "e")).select(
+    return docs.select(key, F.posexplode(V.elements(F.col("doc"), _paged(docs))).alias("elem_no", "e")).select(
         key,
         F.col("e.page_no").alias("page_no"),
         "elem_no",

@@ -17,13 +17,6 @@ from corpusloom.operators.graph import parse_ntriples
 TODO_SCHEMA = "type string, entity_id string, url string, path string"
 
 
-def _variants(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    reader = spark.read.option("singleVariantColumn", "v").option("multiLine", True)
-    if glob is not None:
-        reader = reader.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
-    return reader.json(path)
-
-
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """Records of the ``@graph`` of JSON-LD files, one VARIANT each.
 
@@ -40,10 +33,13 @@ def read_corpus(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_parsed_docs(spark: SparkSession, folder: str) -> DataFrame:
-    """Parse trees ``(doc_id, doc VARIANT)``; the id is the file stem."""
-    return _variants(spark, folder, "*.json").select(
-        read_file_stem().alias("doc_id"), F.col("v").alias("doc")
-    )
+    """Parse trees ``(doc_id, doc)``; the id is the file stem, ``doc`` the pages, one VARIANT each.
+
+    A file may be of any size; one that is cut off or no JSON raises.
+    """
+    reader = spark.read.schema("pages array<variant>").option("multiLine", True).option("mode", "FAILFAST")
+    reader = reader.option("pathGlobFilter", "*.json").option("recursiveFileLookup", True)
+    return reader.json(folder).select(read_file_stem().alias("doc_id"), F.col("pages").alias("doc"))
 
 
 def read_texts(spark: SparkSession, folder: str) -> DataFrame:
@@ -155,8 +151,8 @@ def context_map(context: DataFrame, limit: int = 10_000) -> dict[str, str]:
 
 def read_rules(spark: SparkSession, path: str) -> DataFrame:
     """Label and regex rules, with their flags, of a parser configuration."""
-    steps = F.try_variant_get("v", "$.cleaner", "array<variant>")
-    step = _variants(spark, path).select(F.explode(steps).alias("step"))
+    reader = spark.read.schema("cleaner array<variant>").option("multiLine", True).option("mode", "FAILFAST")
+    step = reader.json(path).select(F.explode("cleaner").alias("step"))
     options = step.where(
         F.try_variant_get("step", "$[0]", "string") == "regex-matcher"
     ).select(F.try_variant_get("step", "$[1]", "variant").alias("o"))
