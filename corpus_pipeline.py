@@ -2,8 +2,13 @@
 
 Every stage but the last returns the columns of ``documents``. Language and toxicity
 stages fit their models on the documents given to ``sf_dir`` and drop what they reject;
-the two deduplication stages keep one document of each group, near copies by five-word
-shingles with a Jaccard similarity of 0.8 or more; packing returns pieces.
+the two deduplication stages keep one document of each group, near copies by the SimHash
+operator with the numbers of its contract (four-word shingles, at most four bits); packing
+returns pieces.
+
+Nulls, empty texts, repeated ids and empty tables are treated as the five operators state:
+language ID rejects a null or blank text, the classes of both deduplication stages hold all
+rows with one text or fingerprint, and a row without a doc_id stays where no class names it.
 """
 
 from __future__ import annotations
@@ -11,7 +16,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import exact, language, near, packing, toxicity
+from corpusloom.llm import exact, language, packing, simhash, toxicity
 from corpusloom.llm.base import table, written
 
 
@@ -28,7 +33,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near.without_near_copies(docs)
+    return simhash.without_near_copies(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
