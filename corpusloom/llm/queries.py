@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from corpusloom.llm import bpe, chat, exact, language, licenses, neighbours, packing, simhash, tokenfile, toxicity
+from corpusloom.llm import bpe, chat, exact, language, licenses, neighbours, orchard, packing, repair, simhash, tokenfile, toxicity
 from corpusloom.llm.base import table, written
 
 QUERIES = {}
@@ -124,3 +124,106 @@ from t join c using (conv_id) group by conv_id"""
 def op4_license_scan(spark, d):
     docs = table(spark, d, "documents")
     return licenses.found(docs, licenses.fitted(docs))
+
+
+@query
+def op11_orchard_clusters(spark, d):
+    return orchard.with_inertia(*orchard.clustered(table(spark, d, "embeddings"), 40, 5))
+
+
+def _clusters_sql(k: int, rounds: int) -> str:
+    """One common table for each round's assignment and one for its centroids."""
+    steps = [f"""
+e as materialized (select row_number() over () rid, vec_id, embedding e from embeddings
+  where len(embedding)=64 and len(list_filter(embedding, lambda x: x is not null and isfinite(x)))=64),
+v as materialized (select rid, vec_id, list_transform(e, lambda x: cast(floor(256*cast(x as double)) as bigint)) v from e),
+c0 as materialized (select row_number() over (order by sha256('2:'||vec_id) nulls last, vec_id, v)-1 c, v w from v qualify c<{k})"""]
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} as materialized (select rid, min({{'d': d, 'c': c}}) m from (select rid, c,
+  cast(list_sum(list_transform(list_zip(v, w), lambda p: (p[1]-p[2])*(p[1]-p[2]))) as bigint) d from v, c{r}) group by rid)""")
+        if r < rounds:
+            steps.append(f"""
+u{r} as (select c, i, sum(x) s, count(*) n from (select m.c c, unnest(v) x, generate_subscripts(v, 1) i from v join a{r} using (rid)) group by c, i),
+c{r + 1} as materialized (select c, list(cast((s - ((s % n) + n) % n) // n as bigint) order by i) w from u{r} group by c
+  union all select c, w from c{r} where c not in (select c from u{r}))""")
+    return "with " + ",".join(steps) + f"""
+select vec_id, cast(m.c as int) as "cluster", m.d distance, cast(sum(m.d) over (partition by m.c) as bigint) cluster_inertia,
+       cast(sum(m.d) over () as bigint) inertia, sha256(array_to_string(w, ',')) centroid_sha256
+from v join a{rounds} using (rid) join c{rounds} on c{rounds}.c = m.c"""
+
+
+ORACLE["op11_orchard_clusters"] = _clusters_sql(40, 5)
+
+
+def damaged(conversations):
+    """The rows of the contract: some dropped, emptied, stripped of their ends, repeated or given to the user."""
+    space = F.lit(" ")
+    rows = conversations.select(
+        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
+        F.coalesce("role", space).alias("role"), F.coalesce("text", space).alias("text"),
+    )
+    name = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    rows = rows.withColumn("__way", F.crc32(name.cast("binary")) % 20).where("__way <> 0")
+    way = F.col("__way")
+    return rows.select(
+        "conv_id", "turn", F.when(way == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(way == 1, "").when(way == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text")).alias("text"),
+        F.explode(F.when(way == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("__copy"),
+    ).drop("__copy")
+
+
+@query
+def op13_repaired_conversations(spark, d):
+    conversations = table(spark, d, "conversations")
+    found = repair.summary(repair.edits(damaged(conversations)))
+    every = conversations.select(F.col("conv_id").cast("long").alias("conv")).distinct()
+    numbers = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return every.join(found, F.col("conv").eqNullSafe(F.col("conv_id")), "left").select(
+        F.col("conv").alias("conv_id"), *numbers, F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
+# States: 0 nothing yet, 1 after s, 2 after u, 3 after a. A step takes one row; up to two rows may be inserted before it.
+ORACLE["op13_repaired_conversations"] = r"""
+with recursive
+r as (select coalesce(conv_id::varchar,' ') ck, conv_id, turn, coalesce(role,' ') as role, coalesce(text,' ') as text,
+             xor(list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(  -- crc32, a bit at a time
+               string_split(coalesce(conv_id::varchar,' ')||':'||coalesce(turn::varchar,' '), ''), lambda k: [ord(k)::bigint,0,0,0,0,0,0,0]))),
+               lambda a, b: xor(xor(a,b)>>1, case when xor(a,b)%2=1 then 3988292384 else 0 end)), 4294967295) % 20 way from conversations),
+d as (select ck, turn, case when way=4 then 'user' else role end as role,
+             case way when 1 then '' when 2 then regexp_replace(text,'[.!?]','','g') else text end as text
+      from r, (values (0),(1)) x(copy) where way<>0 and (copy=0 or way=3)),
+n as (select *, row_number() over w i, left(role,1) c, rtrim(text, chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)) body
+      from d window w as (partition by ck order by turn nulls first, role, md5(length(role)||':'||role||text))),
+f as materialized (select *, case when body='' then 'blank' when row_number() over (partition by ck, role, text order by i)>1 then 'duplicate'
+             when right(body,1) not in ('.','!','?') then 'truncated' else '' end fault from n),
+insertion(s, t, cost, e) as (values (0,0,0,''),(1,1,0,''),(2,2,0,''),(3,3,0,''),(0,2,5,'I'),(1,2,5,'I'),(3,2,5,'I'),
+             (2,3,5,'I'),(0,3,10,'II'),(1,3,10,'II')),
+p(ck, i, s, best) as (select ck, 0::bigint, 0, {'cost': 0, 'audit': ''} from (select distinct ck from f)
+  union all
+  select ck, i, t, min({'cost': cost, 'audit': audit}) from (
+    select p.ck ck, f.i i, o.t t, p.best.cost + x.cost + o.cost cost, p.best.audit || x.e || o.e audit
+    from p join insertion x on x.s=p.s join f on f.ck=p.ck and f.i=p.i+1,
+    lateral (select x.t, 2, 'D'
+             union all select case when x.t=2 then 3 else 2 end, 1+case when fault='truncated' then 5 else 0 end, 'R' where fault in ('','truncated')
+             union all select case c when 's' then 1 when 'u' then 2 else 3 end, case when fault='truncated' then 5 else 0 end, 'K'
+             where fault in ('','truncated') and ((c='s' and x.t=0) or (c='u' and x.t<>2) or (c='a' and x.t=2))) o(t, cost, e)
+  ) group by ck, i, t),
+z as (select ck, max(i) n from f group by ck),
+b as (select p.ck ck, min({'cost': best.cost+x.cost, 'audit': best.audit||x.e}) best
+      from p join z on z.ck=p.ck and z.n=p.i join insertion x on x.s=p.s where x.t in (0,3) group by p.ck),
+l as (select ck, unnest(range(1, len(best.audit)+1)) pos, best.audit audit from b),
+m as (select ck, pos, audit[pos] e, sum((audit[pos]<>'I')::int) over w i, sum((audit[pos]<>'D')::int) over w o from l window w as (partition by ck order by pos)),
+j as (select m.ck, pos, e, o, f.role, f.text, f.c from m left join f on f.ck=m.ck and f.i=m.i and e<>'I'),
+h as (select ck, bool_or(o=1 and e='K' and c='s') has from j group by ck),
+k as (select j.ck, string_agg(case when e='K' then role when (o - has::int)%2=1 then 'user' else 'assistant' end || ':' ||
+             case when e='I' then '' else text end, chr(10) order by pos) whole from j join h using (ck) where e<>'D' group by j.ck),
+g as (select ck, coalesce(max(turn)-min(turn)+1-count(distinct turn),0) gaps, count(*) filter (where fault='blank') blank,
+             count(*) filter (where fault='duplicate') duplicate, count(*) filter (where fault='truncated') truncated from f group by ck),
+y as (select ck, count(*) filter (where was||c not in ('su','ua','au')) illegal from
+      (select ck, c, lag(c) over (partition by ck order by i) was from f) group by ck)
+select q.conv_id, coalesce(gaps,0) gaps, coalesce(blank,0) blank, coalesce(duplicate,0) duplicate, coalesce(truncated,0) truncated,
+       coalesce(illegal,0) illegal, cast(coalesce(b.best.cost,0) as bigint) as cost, coalesce(b.best.audit,'') audit, sha256(coalesce(whole,'')) repaired_sha256
+from (select distinct conv_id, ck from r) q left join g using (ck) left join y using (ck) left join b using (ck) left join k using (ck)"""
