@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from corpusloom.llm import bpe, chat, exact, language, licenses, neighbours, orchard, packing, repair, simhash, tokenfile, toxicity
+from corpusloom.llm import bpe, chat, exact, language, licenses, neighbours, orchard, packing, recompression, repair, simhash, tokenfile, toxicity
 from corpusloom.llm.base import table, written
 
 QUERIES = {}
@@ -227,3 +227,20 @@ y as (select ck, count(*) filter (where was||c not in ('su','ua','au')) illegal
 select q.conv_id, coalesce(gaps,0) gaps, coalesce(blank,0) blank, coalesce(duplicate,0) duplicate, coalesce(truncated,0) truncated,
        coalesce(illegal,0) illegal, cast(coalesce(b.best.cost,0) as bigint) as cost, coalesce(b.best.audit,'') audit, sha256(coalesce(whole,'')) repaired_sha256
 from (select distinct conv_id, ck from r) q left join g using (ck) left join y using (ck) left join b using (ck) left join k using (ck)"""
+
+
+@query
+def op12_repeated_passages(spark, d):
+    found = recompression.without_repeats(table(spark, d, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE["op12_repeated_passages"] = r"""
+with d as materialized (select row_number() over () rid, doc_id, regexp_extract_all(coalesce(text,''), '[^\x20\x09-\x0D]+') ws from documents),
+w as materialized (select rid, i, array_to_string(ws[i:i+34], ' ') k from (select rid, ws, unnest(range(1, len(ws)-33)) i from d)),
+c as materialized (select distinct rid, unnest(range(i, i+35)) pos from w where k in (select k from w group by k having count(*)>1)),
+p as (select rid, unnest(ws) x, generate_subscripts(ws, 1) pos from d),
+k as (select rid, string_agg(x, ' ' order by pos) whole from p anti join c using (rid, pos) group by rid),
+n as (select rid, count(*) n from c group by rid)
+select doc_id, cast(len(ws) as bigint) n_words, cast(coalesce(n,0) as bigint) n_removed, sha256(coalesce(whole,'')) kept_sha256
+from d left join k using (rid) left join n using (rid)"""

@@ -142,7 +142,7 @@ def test_odd_conversations(spark):
     assert (found[3]["audit"], found[3]["duplicate"]) == ("KKD", 1)
     assert found[3]["repaired_sha256"] == hashlib.sha256(("user:" + "Long. " * 50_000 + "\nassistant:ok.").encode()).hexdigest()
     assert (found[None]["truncated"], found[None]["audit"], found[None]["cost"]) == (1, "RRD", 4)
-    assert (found[1]["gaps"], found[1]["duplicate"], found[1]["truncated"]) == (4, 1, 1)
+    assert (found[1]["gaps"], found[1]["duplicate"], found[1]["truncated"]) == (3, 1, 1)
     assert repair.edits(frame.limit(0)).count() == 0
 
 
