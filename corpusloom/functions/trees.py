@@ -1,6 +1,6 @@
 """Parsed documents held as one VARIANT per document.
 
-A tree is walked level by level with array functions inside its own row, so a
+A tree of any depth is walked level by level by one fold inside its own row, so a
 corpus of any size is read without a shuffle.
 """
 
@@ -14,7 +14,6 @@ from corpusloom.functions.arrays import let, per_group, positions
 # Node types of a parse tree.
 SECTION_TYPES = ("word", "line", "character", "paragraph", "heading", "list")
 PAGE_TYPES = ("word", "line", "character", "paragraph", "heading")
-MAX_DEPTH = 8
 
 
 def _content(node: Column, kind: str) -> Column:
@@ -34,58 +33,73 @@ def _leaf(kind: Column, node: Column) -> Column:
     )
 
 
-def _walk(node: Column, types: tuple[str, ...], path: Column | None) -> Column:
+def _walk(node: Column, types: tuple[str, ...], path: Column) -> Column:
     """State of one node: its type, own text, and children still to be walked."""
     inner = [t for t in types if t != "character"]
-
-    def state(kind: Column) -> Column:
-        fields = [
+    return let(
+        node_type(node),
+        lambda kind: F.struct(
+            path.alias("path"),
             kind.alias("type"),
             _leaf(kind, node).alias("text"),
             F.when(kind.isin(inner), _content(node, "array<variant>")).alias("kids"),
-        ]
-        if path is not None:
-            fields.append(path.alias("path"))
-        return F.struct(*fields)
+        ),
+    )
+
+
+def _most_levels(nodes: Column) -> Column:
+    """No tree of these nodes has more levels: every level but the first is in brackets of its own."""
+
+    def brackets(n: Column) -> Column:
+        text = F.to_json(F.struct(n.alias("n")))
+        return F.length(text) - F.length(F.replace(text, F.lit("["), F.lit("")))
+
+    return F.coalesce(F.array_max(F.transform(nodes, brackets)), F.lit(0))
 
-    return let(node_type(node), state)
 
+def _walked(roots: Column, levels: Column, types: tuple[str, ...], spell_out: bool = False) -> Column:
+    """All nodes below ``roots``, and these, in tree order: ``array<struct<path, type, text>>``.
+
+    A fold walks one level a step, as many as the row's own nesting asks for. Nodes that
+    are finished are set aside and not touched again; only the frontier is expanded, and a step
+    with nothing left to expand does nothing. Paths sort into tree order in the end.
+    """
+
+    def finished(states: Column) -> Column:
+        return F.transform(states, lambda s: F.struct(s["path"], s["type"], s["text"]))
+
+    def kids_of(s: Column) -> Column:
+        kids = F.transform(s["kids"], lambda n, i: _walk(n, types, F.concat(s["path"], F.array(i))))
+        if not spell_out:
+            return kids
+        blank = F.struct(
+            F.concat(s["path"], F.array(F.size(s["kids"]))).alias("path"),
+            F.lit("character").alias("type"),
+            F.lit(" ").alias("text"),
+            F.lit(None).cast("array<variant>").alias("kids"),
+        )
+        return F.when(s["type"] == "word", F.concat(kids, F.array(blank))).otherwise(kids)
+
+    def step(state: Column, _) -> Column:
+        frontier = F.filter(state["frontier"], lambda s: s["kids"].isNotNull())
+        below = F.flatten(F.transform(frontier, kids_of))
+        return F.when(F.size(state["frontier"]) == 0, state).otherwise(
+            let(below, lambda b: F.struct(F.concat(state["done"], finished(b)).alias("done"), b.alias("frontier")))
+        )
 
-def _checked(states: Column, body: Column) -> Column:
-    return F.when(
-        F.exists(states, lambda s: s["kids"].isNotNull()),
-        F.raise_error(F.lit("parse tree deeper than max_depth")),
-    ).otherwise(body)
+    start = let(roots, lambda r: F.struct(finished(r).alias("done"), r.alias("frontier")))
+    return F.aggregate(F.sequence(F.lit(0), levels), start, step, lambda state: F.array_sort(state["done"]))
 
 
 def element_text(
     element: Column,
     types: tuple[str, ...] = SECTION_TYPES,
-    max_depth: int = MAX_DEPTH,
     space_after_spelled_words: bool = False,
 ) -> Column:
     """Leaf text of one element in tree order."""
-
-    def expand(s: Column) -> Column:
-        kids = F.transform(s["kids"], lambda n: _walk(n, types, None))
-        if space_after_spelled_words:
-            blank = F.struct(
-                F.lit("character").alias("type"),
-                F.lit(" ").alias("text"),
-                F.lit(None).cast("array<variant>").alias("kids"),
-            )
-            kids = F.when(s["type"] == "word", F.concat(kids, F.array(blank))).otherwise(kids)
-        return F.when(s["kids"].isNull(), F.array(s)).otherwise(kids)
-
-    states = F.array(_walk(element, types, None))
-    for _ in range(max_depth):
-        states = F.flatten(F.transform(states, expand))
-    return let(
-        states,
-        lambda done: _checked(
-            done, F.array_join(F.transform(done, lambda s: F.coalesce(s["text"], F.lit(""))), "")
-        ),
-    )
+    root = F.array(_walk(element, types, F.array().cast("array<int>")))
+    walked = _walked(root, _most_levels(F.array(element)), types, space_after_spelled_words)
+    return F.array_join(F.transform(walked, lambda s: F.coalesce(s["text"], F.lit(""))), "")
 
 
 def pages(doc: Column, paged: bool = False) -> Column:
@@ -116,8 +130,8 @@ def elements(doc: Column, paged: bool = False) -> Column:
     )
 
 
-def nodes(doc: Column, max_depth: int = MAX_DEPTH, paged: bool = False) -> Column:
-    """Every node of a document: ``array<struct<type, text, path>>`` in tree order.
+def nodes(doc: Column, paged: bool = False) -> Column:
+    """Every node of a document: ``array<struct<path, type, text>>`` in tree order.
 
     ``path`` is page position, element position, then child positions; ``text``
     is the node's own text, null for inner nodes.
@@ -134,38 +148,12 @@ def nodes(doc: Column, max_depth: int = MAX_DEPTH, paged: bool = False) -> Colum
             ),
         )
     )
-
-    def expand(s: Column) -> Column:
-        closed = F.struct(
-            s["type"].alias("type"),
-            s["text"].alias("text"),
-            F.lit(None).cast("array<variant>").alias("kids"),
-            s["path"].alias("path"),
-        )
-        kids = F.transform(
-            s["kids"],
-            lambda n, i: _walk(n, SECTION_TYPES, F.concat(s["path"], F.array(i))),
-        )
-        return F.when(s["kids"].isNull(), F.array(s)).otherwise(F.concat(F.array(closed), kids))
-
-    states = F.filter(roots, lambda s: s["type"].isNotNull())
-    for _ in range(max_depth):
-        states = F.flatten(F.transform(states, expand))
-    return let(
-        states,
-        lambda done: _checked(
-            done,
-            F.transform(
-                F.filter(done, lambda s: s["type"].isNotNull()),
-                lambda s: F.struct(
-                    s["path"].alias("path"), s["type"].alias("type"), s["text"].alias("text")
-                ),
-            ),
-        ),
-    )
+    typed = F.filter(roots, lambda s: s["type"].isNotNull())
+    walked = _walked(typed, _most_levels(pages(doc, paged)), SECTION_TYPES)
+    return F.filter(walked, lambda s: s["type"].isNotNull())
 
 
-def sections(doc: Column, max_depth: int = MAX_DEPTH, paged: bool = False) -> Column:
+def sections(doc: Column, paged: bool = False) -> Column:
     """``array<struct<sec_no, title, text>>`` of one document.
 
     A heading opens a section and its text is also the start of the section's
@@ -176,7 +164,7 @@ def sections(doc: Column, max_depth: int = MAX_DEPTH, paged: bool = False) -> Co
         F.filter(elements(doc, paged), lambda e: e["type"].isin(*SECTION_TYPES)),
         lambda e: F.struct(
             (e["type"] == "heading").alias("head"),
-            element_text(e["node"], SECTION_TYPES, max_depth).alias("text"),
+            element_text(e["node"]).alias("text"),
         ),
     )
     return let(
@@ -200,7 +188,7 @@ def sections(doc: Column, max_depth: int = MAX_DEPTH, paged: bool = False) -> Co
 
 
 def page_text(
-    doc: Column, page_no: int | None = None, max_depth: int = MAX_DEPTH, paged: bool = False
+    doc: Column, page_no: int | None = None, paged: bool = False
 ) -> Column:
     """Text of one page or of the whole document; lists are not text here."""
 
@@ -211,7 +199,7 @@ def page_text(
     return F.array_join(
         F.transform(
             F.filter(elements(doc, paged), wanted),
-            lambda e: F.concat(element_text(e["node"], PAGE_TYPES, max_depth), F.lit("\n\n")),
+            lambda e: F.concat(element_text(e["node"], PAGE_TYPES), F.lit("\n\n")),
         ),
         "",
     )

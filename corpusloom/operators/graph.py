@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.scalars import compact_iri, quoted_token
 from corpusloom.operators.running import running_total
+from corpusloom.session import checkpointed
 
 
 def distinct_triples(triples: DataFrame) -> DataFrame:
@@ -26,10 +27,10 @@ def index_nodes(triples: DataFrame) -> DataFrame:
     """Number the nodes from 0 by first appearance, subject before object.
 
     ``triples`` carries ``seq``, the order of the triples. A node is first seen
-    at one place only, so places are unique and a running count over chunks of
-    places numbers the nodes without one task that sees them all.
+    at one place only, so places are unique, and ranges of places are counted with the
+    sums of the ranges before them. The first places are written once to the shared folder.
     """
-    place = F.col("seq").cast("long") * 2
+    place = F.col("seq").cast("decimal(20,0)") * 2  # twice a long needs more than a long
     seen = triples.select(
         F.inline(
             F.array(
@@ -38,7 +39,7 @@ def index_nodes(triples: DataFrame) -> DataFrame:
             )
         )
     )
-    first = seen.groupBy("name").agg(F.min("place").alias("place"))
+    first = checkpointed(seen.groupBy("name").agg(F.min("place").alias("place")))
     counted = running_total(first.withColumn("_one", F.lit(1).cast("long")), [], "place", "_one", "_n")
     return counted.select((F.col("_n") - 1).alias("id"), "name")
 
@@ -69,7 +70,7 @@ def node_edge_tables(triples: DataFrame) -> tuple[DataFrame, DataFrame]:
     Edges are collapsed by name before the names are looked up, so the two joins
     see one row per pair; AQE splits a node that holds very many of them.
     """
-    nodes = index_nodes(triples)
+    nodes = checkpointed(index_nodes(triples))
     edges = collapse_edges(
         triples.select(
             "seq", F.col("s").alias("a"), F.col("o").alias("b"), F.col("p").alias("label")

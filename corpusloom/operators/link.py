@@ -8,89 +8,79 @@ from pyspark.sql import functions as F
 from corpusloom.functions.arrays import group_starts, let, per_group
 from corpusloom.session import spread
 
-#: Up to this many distinct name beginnings are sent along as a filter.
-ANCHOR_LIMIT = 20_000
-
-
 def word_array(text: Column) -> Column:
     """Lower-cased words in order, stop words included."""
     return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
-def _anchor(words: Column, at: Column) -> Column:
-    """First two words from a position on, or the last word alone."""
-    return F.array_join(F.slice(words, at + 1, 2), " ")
+def _anchor(first: Column, second: Column) -> Column:
+    """Hash of the first two words of a name; a name of one word has an empty second."""
+    return F.xxhash64(first, F.coalesce(second, F.lit("")))
 
 
-def mentions(
-    docs: DataFrame,
-    names: DataFrame,
-    keys: list[str] = ["doc_id"],
-    anchor_limit: int = ANCHOR_LIMIT,
-) -> DataFrame:
-    """Where the word sequences of ``names(name_id, name)`` occur in ``docs(keys, text)``.
+def postings(words: Column) -> Column:
+    """``array<struct<anchor, at>>``: every anchor of a text once, with all its positions in order."""
 
-    Word sequences of the lengths that names have are cut out of every text,
-    counted inside the text, and joined to the names by equality. If the names
-    have few distinct beginnings (checked, never more than ``anchor_limit``),
-    positions that begin no name are left out first; with more names the same
-    join runs without that filter.
-    """
-    split = names.select("name_id", word_array(F.col("name")).alias("_w")).where("size(_w) > 0")
-    wanted = split.select(
-        "name_id", F.array_join("_w", " ").alias("gram")
-    ).distinct()
-    lengths = sorted(r[0] for r in split.select(F.size("_w")).distinct().collect())
-    if not lengths:
-        empty = [F.col(k) for k in keys]
-        return docs.where(F.lit(False)).select(
-            *empty, F.lit(None).cast(names.schema["name_id"].dataType).alias("name_id"),
-            F.lit(None).cast("long").alias("n"), F.lit(None).cast("int").alias("first_pos"),
-        )
-    # A one-word name matches whatever follows it, so it is no use as a two-word anchor.
-    anchors = None
-    if lengths[0] > 1:
-        found = (
-            split.select(_anchor(F.col("_w"), F.lit(0)).alias("a"))
-            .distinct()
-            .limit(anchor_limit + 1)
-            .collect()
+    def grouped(hits: Column) -> Column:
+        return per_group(
+            group_starts(hits, lambda x, y: x["anchor"] == y["anchor"]),
+            F.size(hits),
+            lambda s, length, k: F.struct(
+                F.get(hits, s)["anchor"].alias("anchor"),
+                F.transform(F.slice(hits, s + 1, length), lambda h: h["at"]).alias("at"),
+            ),
         )
-        if len(found) <= anchor_limit:
-            anchors = [r["a"] for r in found]
-
-    def grams(w: Column) -> Column:
-        starts = F.transform(w, lambda _, i: i)
-        if anchors is not None:
-            starts = F.filter(starts, lambda i: _anchor(w, i).isin(anchors))
-        cut = F.flatten(
-            F.transform(
-                starts,
-                lambda i: F.transform(
-                    F.filter(
-                        F.array(*[F.lit(n) for n in lengths]), lambda n: i + n <= F.size(w)
-                    ),
-                    lambda n: F.struct(
-                        F.array_join(F.slice(w, i + 1, n), " ").alias("gram"), i.alias("at")
-                    ),
-                ),
-            )
+
+    def hits(w: Column) -> Column:
+        alone = F.transform(w, lambda x, i: F.struct(_anchor(x, F.lit("")).alias("anchor"), i.alias("at")))
+        paired = F.transform(
+            F.slice(w, F.lit(1), F.greatest(F.size(w) - 1, F.lit(0))),
+            lambda x, i: F.struct(_anchor(x, F.get(w, i + 1)).alias("anchor"), i.alias("at")),
         )
+        return F.sort_array(F.concat(alone, paired))
+
+    return let(words, lambda w: let(hits(w), grouped))
+
+
+def mentions(docs: DataFrame, names: DataFrame, keys: list[str] = ["doc_id"]) -> DataFrame:
+    """Where the word sequences of ``names(name_id, name)`` occur in ``docs(keys, text)``.
+
+    Texts are an inverted index: every distinct beginning of a name that a text could hold (a
+    word alone, two words in a row) is posted once, as a hash with its positions. Postings
+    meet the beginnings of the names by equality, whichever side Spark finds smaller,
+    and only hits go on: they come back to their text, which verifies the whole name at each position. So
+    no list of names enters the plan and nothing is collected.
+
+    ``n`` counts the positions, overlapping ones too; ``first_pos`` counts words from 0. A
+    name without a word is nowhere. Rows that share their keys are texts of their own.
+    """
+    wanted = names.select("name_id", word_array(F.col("name")).alias("_name")).where("size(_name) > 0").distinct()
+    wanted = wanted.withColumn("anchor", _anchor(F.get("_name", F.lit(0)), F.get("_name", F.lit(1))))
+    cut = docs.select(*keys, word_array(F.col("text")).alias("_words"))
+    posted = spread(cut).select(*keys, F.inline(postings(F.col("_words"))))
+    # Rows that share their keys share their hits; the text that verifies a position decides.
+    hits = posted.join(wanted, "anchor").groupBy(*keys, "name_id", F.col("_name").alias("name")).agg(
+        F.array_distinct(F.flatten(F.collect_list("at"))).alias("at")
+    )
+    hits = hits.groupBy(*keys).agg(F.collect_list(F.struct("name_id", "name", "at")).alias("_hits"))
+    back = F.lit(True)
+    for k in keys:
+        back = back & F.col(f"d.{k}").eqNullSafe(F.col(f"h.{k}"))
+    found = cut.alias("d").join(hits.alias("h"), back).select(*[f"d.{k}" for k in keys], "_words", "_hits")
+
+    def checked(hit: Column) -> Column:
+        size = F.size(hit["name"])
+        here = F.filter(hit["at"], lambda i: F.slice(F.col("_words"), i + 1, size) == hit["name"])
         return let(
-            F.sort_array(cut),
-            lambda g: per_group(
-                group_starts(g, lambda x, y: x["gram"] == y["gram"]),
-                F.size(g),
-                lambda s, length, k: F.struct(
-                    F.get(g, s)["gram"].alias("gram"),
-                    length.cast("long").alias("n"),
-                    F.get(g, s)["at"].alias("first_pos"),
-                ),
+            here,
+            lambda h: F.struct(
+                hit["name_id"].alias("name_id"),
+                F.size(h).cast("long").alias("n"),
+                F.array_min(h).alias("first_pos"),
             ),
         )
 
-    counted = spread(docs).select(*keys, F.inline(let(word_array(F.col("text")), grams)))
-    return counted.join(wanted, "gram").select(*keys, "name_id", "n", "first_pos")
+    return found.select(*keys, F.inline(F.transform("_hits", checked))).where("n > 0")
 
 
 def top_predictions(

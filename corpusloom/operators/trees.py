@@ -15,18 +15,18 @@ def _paged(docs: DataFrame) -> bool:
     return isinstance(docs.schema["doc"].dataType, T.ArrayType)
 
 
-def flatten_tree(docs: DataFrame, key: str = "doc_id", max_depth: int = V.MAX_DEPTH) -> DataFrame:
+def flatten_tree(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """``node(key, path, type, text)`` for trees ``(key, doc VARIANT)``."""
-    return docs.select(key, F.inline(V.nodes(F.col("doc"), max_depth, _paged(docs))))
+    return docs.select(key, F.inline(V.nodes(F.col("doc"), _paged(docs))))
 
 
-def tree_sections(docs: DataFrame, key: str = "doc_id", max_depth: int = V.MAX_DEPTH) -> DataFrame:
+def tree_sections(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """``section(key, sec_no, title, text)`` straight from the trees."""
-    return docs.select(key, F.inline(V.sections(F.col("doc"), max_depth, _paged(docs))))
+    return docs.select(key, F.inline(V.sections(F.col("doc"), _paged(docs))))
 
 
 def tree_page_text(
-    docs: DataFrame, page_no: int | None = None, key: str = "doc_id", max_depth: int = V.MAX_DEPTH
+    docs: DataFrame, page_no: int | None = None, key: str = "doc_id"
 ) -> DataFrame:
     """Text of a page, or of all pages. A document without that page gives no row."""
     if page_no is not None:
@@ -34,17 +34,17 @@ def tree_page_text(
             V.pages(F.col("doc"), _paged(docs)), lambda p: F.try_variant_get(p, "$.pageNumber", "int")
         )
         docs = docs.where(F.array_contains(numbers, page_no))
-    return docs.select(key, V.page_text(F.col("doc"), page_no, max_depth, _paged(docs)).alias("text"))
+    return docs.select(key, V.page_text(F.col("doc"), page_no, _paged(docs)).alias("text"))
 
 
-def tree_elements(docs: DataFrame, key: str = "doc_id", max_depth: int = V.MAX_DEPTH) -> DataFrame:
+def tree_elements(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """``element(key, page_no, elem_no, type, text)`` of trees."""
     return docs.select(key, F.posexplode(V.elements(F.col("doc"), _paged(docs))).alias("elem_no", "e")).select(
         key,
         F.col("e.page_no").alias("page_no"),
         "elem_no",
         F.col("e.type").alias("type"),
-        V.element_text(F.col("e.node"), V.SECTION_TYPES, max_depth).alias("text"),
+        V.element_text(F.col("e.node")).alias("text"),
     )
 
 

@@ -6,32 +6,56 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import scalars as S
 from corpusloom.operators import documents, graph, versions, web
-from corpusloom.operators.running import next_order, running_total
+from corpusloom.operators.running import Ranges, next_order, running_total
 
 
 def test_running_total_of_a_hot_key(spark, rows):
-    """Chunks of 4 and 16 rows: the third of all rows under key 0 is cut many times."""
+    """A third of all rows under one key, random orders of 63 bits, null keys and a null order."""
     rnd = random.Random(1)
-    data = [(0 if i % 3 == 0 else i % 7, i * 3, rnd.randint(0, 5)) for i in range(900)]
+    orders = sorted({rnd.randrange(-(2**63), 2**63) for _ in range(2999)})
+    data = [(0 if i % 3 == 0 else [None, *range(1, 9)][i % 9], at, rnd.randint(0, 5)) for i, at in enumerate([None, *orders])]
     frame = spark.createDataFrame(data, "k long, at long, v long")
-    sums, want = {}, []
-    for k, at, v in data:
-        sums[k] = sums.get(k, 0) + v
-        want.append((k, at, v, sums[k]))
-    for levels in (0, 1, 2, 3):
-        got = running_total(frame, ["k"], "at", "v", "s", bits=2, levels=levels)
-        assert rows(got.select("k", "at", "v", "s")) == sorted(want, key=repr)
+    for keys in (["k"], []):
+        sums, want = {}, []
+        for k, at, v in data:
+            key = k if keys else 0
+            sums[key] = sums.get(key, 0) + v
+            want.append((k, at, v, sums[key]))
+        for shares in (1, 7, 40):
+            got = running_total(frame, keys, "at", "v", "s", shares=shares)
+            assert got.columns == ["k", "at", "v", "s"]
+            assert rows(got) == sorted(want, key=repr)
+
+
+def test_a_hot_key_is_cut_into_ranges(spark):
+    """No range holds more than a few shares of the rows, and small keys are not cut."""
+    rnd = random.Random(2)
+    data = [(0 if i % 2 else i % 500, rnd.randrange(2**63) >> rnd.randrange(60), 1) for i in range(40_000)]
+    frame = spark.createDataFrame(data, "k long, at long, v long")
+    ranges = Ranges(frame, ["k"], "at", 20)
+    sizes = {(r[0], r[1]): r[2] for r in ranges.rows.groupBy("k", "_range").count().collect()}
+    assert max(sizes.values()) <= 3 * 40_000 / 20
+    assert sum(k == 0 for k, _ in sizes) >= 8 and all(n == 0 for k, n in sizes if k)
+    plan = running_total(frame, [], "at", "v", "s")._jdf.queryExecution().toString()
+    assert "windowspecdefinition(_all" in plan and "_range" in plan
+
+
+def test_running_total_of_nothing(spark):
+    frame = spark.createDataFrame([], "k long, at long, v long")
+    assert running_total(frame, ["k"], "at", "v", "s").count() == 0
+    assert next_order(frame, [], "at", "n").count() == 0
 
 
 def test_next_order_of_a_hot_key(spark, rows):
-    data = [(0 if i % 3 == 0 else i % 5, i * i) for i in range(200)]
+    data = [(0 if i % 3 == 0 else i % 5, i * i) for i in range(2000)]
     frame = spark.createDataFrame(data, "k long, at long")
     last, want = {}, []
     for k, at in reversed(data):
         want.append((k, at, last.get(k)))
         last[k] = at
-    got = next_order(frame, ["k"], "at", "nxt", bits=3).select("k", "at", "nxt")
-    assert rows(got) == sorted(want, key=repr)
+    for shares in (1, 9, 30):
+        got = next_order(frame, ["k"], "at", "nxt", shares=shares).select("k", "at", "nxt")
+        assert rows(got) == sorted(want, key=repr)
 
 
 TRIPLES = [

@@ -169,12 +169,13 @@ BODIES = [
 ]
 
 
-@pytest.mark.parametrize("skip, limit", [(0, 100), (0, 0), (1, 100), (1, 0)])
-def test_mentions(spark, rows, skip, limit):
-    """With and without one-word names, with and without the filter."""
+@pytest.mark.parametrize("skip", [0, 1])
+def test_mentions(spark, rows, skip):
+    """With and without one-word names; two texts share their key, two have none."""
     names = [n for n in NAMES if not (skip and n[1] == "census")]
+    bodies = BODIES + [(1, "housing census, a housing census"), (None, "the census of housing"), (None, "census")]
     want = []
-    for doc_id, body in BODIES:
+    for doc_id, body in bodies:
         tokens = re.findall(r"\w+", (body or "").lower())
         for name_id, name in names:
             parts = re.findall(r"\w+", name.lower())
@@ -182,13 +183,20 @@ def test_mentions(spark, rows, skip, limit):
             if at:
                 want.append((doc_id, name_id, len(at), at[0]))
     got = link.mentions(
-        spark.createDataFrame(BODIES, "doc_id long, text string"),
+        spark.createDataFrame(bodies, "doc_id long, text string"),
         spark.createDataFrame(names, "name_id long, name string"),
-        anchor_limit=limit,
     )
     assert rows(got) == sorted(want, key=repr)
 
 
+def test_mentions_of_many_names(spark, rows):
+    """No number of names changes the plan or leaves the cluster: thousands of names, all found."""
+    names = spark.range(5000).selectExpr("id as name_id", "concat('set ', id, ' of ', id % 7) as name")
+    texts = spark.range(50).selectExpr("id as doc_id", "array_join(transform(sequence(id * 100, id * 100 + 99), i -> concat('the Set ', i, ' of ', i % 7, ';')), ' ') as text")
+    found = link.mentions(texts, names)
+    assert rows(found) == sorted(((i // 100, i, 1, i % 100 * 5 + 1) for i in range(5000)), key=repr)
+
+
 def test_mentions_of_nothing(spark):
     names = spark.createDataFrame([], "name_id long, name string")
     got = link.mentions(spark.createDataFrame(BODIES, "doc_id long, text string"), names)

@@ -140,15 +140,20 @@ def test_flatten_tree(spark, rows):
     assert texts_[0, 2] == "some abctext " and texts_[1, 0] == "goes on "
 
 
-def test_too_deep_is_an_error(spark):
-    node = word("deep")
-    for _ in range(10):
+def test_depth_follows_the_data(spark):
+    """A tree of depth 42 beside a flat one; the plan has one level of expressions."""
+    node = word("deep [")
+    for _ in range(41):
         node = {"type": "list", "content": [node]}
-    frame = parsed(spark, tree([node]))
-    with pytest.raises(Exception, match="deeper than"):
-        trees.flatten_tree(frame).collect()
-    assert trees.flatten_tree(frame, max_depth=12).count() == 11
-    assert trees.tree_sections(parsed(spark, tree([{"type": "heading", "content": [line("x")]}]))).count() == 1
+    below = {"type": "paragraph", "content": [node, word("flat")]}
+    frame = parsed(spark, tree([below]), tree([line("x")]))
+    nodes = trees.flatten_tree(frame)
+    per_doc = {r[0]: r[1:] for r in nodes.groupBy("doc_id").agg(F.count("*"), F.max(F.size("path"))).collect()}
+    assert sorted(per_doc.values()) == [(2, 3), (44, 44)]
+    assert nodes.where(F.size("path") == 44).first()["text"] == "deep [ "
+    texts_ = trees.tree_page_text(parsed(spark, tree([{"type": "paragraph", "content": [word("a"), line("b"), word("c")]}])))
+    assert texts_.first()["text"] == "a b c \n\n"
+    assert len(nodes._jdf.queryExecution().toString()) < 40_000
 
 
 def test_empty_trees(spark):
