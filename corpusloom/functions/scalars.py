@@ -133,20 +133,6 @@ def iso_date(day: Column | None = None) -> Column:
     return F.date_format(F.current_date() if day is None else day, "yyyy-MM-dd")
 
 
-def compact_iri(iri: Column, context: dict[str, str]) -> Column:
-    """Shorten an IRI by the longest namespace of ``context`` it starts with."""
-    spaces = sorted(
-        ((ns, prefix) for prefix, ns in context.items() if not prefix.startswith("@")),
-        key=lambda pair: (-len(pair[0]), pair[1]),
-    )
-    short = None
-    for ns, prefix in spaces:
-        value = F.concat(F.lit(prefix + ":"), F.substr(iri, F.lit(len(ns) + 1)))
-        test = iri.startswith(ns)
-        short = F.when(test, value) if short is None else short.when(test, value)
-    return iri if short is None else short.otherwise(iri)
-
-
 def to_json_doc(value: Column) -> Column:
     return F.to_json(value)
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from corpusloom.functions.arrays import let
+
 # Names under which Spark ML ships its stop-word lists.
 LANGUAGES = {
     "da": "danish",
@@ -46,25 +46,18 @@ def tokens(text: Column, lang: Column | None = None, languages=tuple(LANGUAGES))
     """
     spaced = F.translate(F.lower(text), WHITE_SPACE, " " * len(WHITE_SPACE))
     raw = F.split(F.regexp_replace(spaced, r"[^\p{L}\p{N} ]+", f" {BREAK} "), " ")
-
-    def marked(code: str) -> Column:
-        stops = stop_words(code)
-        return F.transform(
-            F.filter(raw, lambda t: t != ""),
-            lambda t: F.when(t.isin(stops), F.lit(BREAK)).otherwise(t),
-        )
-
+    kept = F.filter(raw, lambda t: t != "")
     if lang is None:
-        return marked(DEFAULT_LANGUAGE)
-    others = [code for code in languages if code != DEFAULT_LANGUAGE]
-    if not others:
-        return marked(DEFAULT_LANGUAGE)
-    branches = reduce(
-        lambda acc, code: acc.when(lang == code, marked(code)),
-        others[1:],
-        F.when(lang == others[0], marked(others[0])),
+        stops = stop_words(DEFAULT_LANGUAGE)
+        return F.transform(kept, lambda t: F.when(t.isin(stops), F.lit(BREAK)).otherwise(t))
+    codes = dict.fromkeys([DEFAULT_LANGUAGE, *languages])
+    # One look-up for all languages: a hashed set of each code with each of its words.
+    named = [f"{code} {word}" for code in codes for word in stop_words(code)]
+    code = F.when(lang.isin(list(codes)), lang).otherwise(F.lit(DEFAULT_LANGUAGE))
+    return let(
+        F.concat(code, F.lit(" ")),
+        lambda c: F.transform(kept, lambda t: F.when(F.concat(c, t).isin(named), F.lit(BREAK)).otherwise(t)),
     )
-    return branches.otherwise(marked(DEFAULT_LANGUAGE))
 
 
 def phrases(toks: Column) -> Column:

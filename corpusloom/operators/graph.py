@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.functions.scalars import compact_iri, quoted_token
+from corpusloom.functions.scalars import quoted_token
 from corpusloom.operators.running import running_total
 from corpusloom.session import checkpointed
 
@@ -79,8 +80,45 @@ def node_edge_tables(triples: DataFrame) -> tuple[DataFrame, DataFrame]:
     return nodes, named_edges(edges, nodes)
 
 
-def compact_triples(triples: DataFrame, context: dict[str, str]) -> DataFrame:
-    return triples.select(*[compact_iri(F.col(c), context).alias(c) for c in ("s", "p", "o")])
+def context_table(spark: SparkSession, context: dict[str, str] | DataFrame) -> DataFrame:
+    """A vocabulary as ``(prefix, iri)``; a table of any size stays as it is."""
+    if isinstance(context, DataFrame):
+        return context.select("prefix", "iri")
+    return spark.createDataFrame(pd.DataFrame({"prefix": list(context), "iri": list(context.values())}, dtype="object"), "prefix string, iri string")
+
+
+def compact_iris(df: DataFrame, columns: list[str], context: dict[str, str] | DataFrame) -> DataFrame:
+    """Shorten the IRIs of ``columns`` by the longest namespace of the vocabulary they start with.
+
+    A namespace is found by equality: it is filed under its first characters, as many as
+    the largest power of two not above its length, and an IRI looks its own first characters
+    up, the longest such cut first. Only namespaces under one key are compared in
+    the row. A vocabulary of any size is a table on the small side of a join; namespaces have at most
+    32 different cuts, which decide the number of joins. Of several prefixes of one namespace the
+    first by name is used; names that begin with ``@`` are not prefixes.
+    """
+    spaces = context_table(df.sparkSession, context).where(~F.col("prefix").startswith("@"))
+    spaces = spaces.groupBy("iri").agg(F.min("prefix").alias("prefix"))
+    cut = F.when(F.length("iri") == 0, 0).otherwise(F.call_function("shiftleft", F.lit(1), F.length(F.bin(F.length("iri"))) - 1))
+    spaces = spaces.withColumn("_cut", cut)
+    cuts = sorted((r[0] for r in spaces.select("_cut").distinct().collect()), reverse=True)  # 32 numbers at most
+    filed = spaces.groupBy("_cut", F.substr("iri", F.lit(1), F.col("_cut")).alias("_key")).agg(
+        F.sort_array(F.collect_list(F.struct(F.length("iri").alias("size"), "iri", "prefix")), asc=False).alias("_spaces")
+    )
+    out = df
+    for c in columns:
+        found = []
+        for n in cuts:
+            under = filed.where(F.col("_cut") == n).select(F.col("_key").alias(f"_key{n}"), F.col("_spaces").alias(f"_spaces{n}"))
+            out = out.join(under, F.substr(F.col(c), F.lit(1), F.lit(n)) == F.col(f"_key{n}"), "left")
+            longest = F.get(F.filter(f"_spaces{n}", lambda x: F.col(c).startswith(x["iri"])), F.lit(0))
+            found.append(F.concat(longest["prefix"], F.lit(":"), F.substr(F.col(c), longest["size"] + 1)))
+        out = out.select(*[F.coalesce(*found, F.col(c)).alias(c) if x == c else F.col(x) for x in df.columns])
+    return out
+
+
+def compact_triples(triples: DataFrame, context: dict[str, str] | DataFrame) -> DataFrame:
+    return compact_iris(triples.select("s", "p", "o"), ["s", "p", "o"], context)
 
 
 def ntriples_lines(triples: DataFrame) -> DataFrame:
@@ -136,7 +174,7 @@ def parse_ntriples(lines: DataFrame, column: str = "value") -> DataFrame:
 
 
 def jsonld_nodes(
-    triples: DataFrame, context: dict[str, str], per_object: int = 100_000
+    triples: DataFrame, context: dict[str, str] | DataFrame, per_object: int = 100_000
 ) -> DataFrame:
     """One JSON-LD node object per subject as a line of JSON.
 

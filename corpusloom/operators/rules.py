@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,31 +17,41 @@ DEFAULT_RULES = [
 
 
 def label_matches(
-    docs: DataFrame,
-    rules: list[tuple[str, str]] = DEFAULT_RULES,
-    key: str = "doc_id",
-    case_sensitive: bool = True,
-    all_matches: bool = True,
+    docs: DataFrame, rules: list[tuple] | DataFrame = DEFAULT_RULES, key: str = "doc_id"
 ) -> DataFrame:
     """One row per match: ``(key, label, match_no, match)``.
 
-    Rules are a short list that belongs to the plan, so each pattern is compiled
-    once and every text is read once.
+    ``rules`` are rows ``(label, regex, case_sensitive, all_matches)``, as the reader of a
+    configuration gives them, or tuples of these; each rule goes by flags of its own, and a
+    missing flag is true. The rules are one value that every text is matched with, so
+    a text is read once and no row is made for a rule that matches nothing.
     """
+    if isinstance(rules, DataFrame):
+        value = rules.agg(F.sort_array(F.collect_list(_rule(*(F.col(c) for c in RULE_COLUMNS))))).scalar()
+    else:
+        value = F.array(*[_rule(*(F.lit(v) for v in (*r, *(True, True)[len(r) - 2 :]))) for r in rules])
 
-    def found(label: str, regex: str):
-        pattern = regex if case_sensitive else f"(?i){regex}"
-        hits = F.regexp_extract_all(F.col("text"), F.lit(pattern), F.lit(0))
-        if not all_matches:
-            hits = F.slice(hits, 1, 1)
+    def found(rule: Column) -> Column:
+        hits = F.regexp_extract_all(F.col("text"), rule["pattern"], F.lit(0))
+        kept = F.when(rule["all_matches"], hits).otherwise(F.slice(hits, 1, 1))
         return F.transform(
-            hits,
-            lambda m, i: F.struct(
-                F.lit(label).alias("label"), i.alias("match_no"), m.alias("match")
-            ),
+            kept, lambda m, i: F.struct(rule["label"].alias("label"), i.alias("match_no"), m.alias("match"))
         )
 
-    return spread(docs).select(key, F.inline(F.concat(*[found(*rule) for rule in rules])))
+    ruled = spread(docs).select(key, "text", value.alias("_rules"))
+    return ruled.select(key, F.inline(F.flatten(F.transform("_rules", found))))
+
+
+RULE_COLUMNS = ("label", "regex", "case_sensitive", "all_matches")
+
+
+def _rule(label: Column, regex: Column, case_sensitive: Column, all_matches: Column) -> Column:
+    exact = F.coalesce(case_sensitive, F.lit(True))
+    return F.struct(
+        label.alias("label"),
+        F.when(exact, regex).otherwise(F.concat(F.lit("(?i)"), regex)).alias("pattern"),
+        F.coalesce(all_matches, F.lit(True)).alias("all_matches"),
+    )
 
 
 def clean_table(table: DataFrame) -> DataFrame:

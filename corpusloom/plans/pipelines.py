@@ -68,7 +68,7 @@ def section_phrases(
 
 
 def neighbourhood_documents(
-    spark: SparkSession, path: str, term: str, context: dict[str, str]
+    spark: SparkSession, path: str, term: str, context: dict[str, str] | DataFrame
 ) -> DataFrame:
     """Triples around one entity as compact JSON-LD node objects."""
     near = graph.neighbourhood(readers.read_triples(spark, path), term)

@@ -76,7 +76,7 @@ def write_ntriples(triples: DataFrame, path: str) -> None:
     ntriples_lines(distinct_triples(triples)).write.mode("overwrite").text(path)
 
 
-def write_jsonld(triples: DataFrame, context: dict[str, str], path: str) -> None:
+def write_jsonld(triples: DataFrame, context: dict[str, str] | DataFrame, path: str) -> None:
     """Write compacted node objects, one per line."""
     jsonld_nodes(triples, context).write.mode("overwrite").text(path)
 

@@ -141,14 +141,6 @@ def read_context(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def context_map(context: DataFrame, limit: int = 10_000) -> dict[str, str]:
-    """A vocabulary as a plain map for use in a plan; its size is checked."""
-    rows = context.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} prefixes")
-    return {r["prefix"]: r["iri"] for r in rows}
-
-
 def read_rules(spark: SparkSession, path: str) -> DataFrame:
     """Label and regex rules, with their flags, of a parser configuration."""
     reader = spark.read.schema("cleaner array<variant>").option("multiLine", True).option("mode", "FAILFAST")
@@ -168,14 +160,6 @@ def read_rules(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def rule_list(rules: DataFrame, limit: int = 1_000) -> list[tuple[str, str]]:
-    """Rules as plain pairs for use in a plan; their number is checked."""
-    rows = rules.select("label", "regex").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} rules")
-    return [(r["label"], r["regex"]) for r in rows]
-
-
 def read_tables(
     spark: SparkSession, path: str, sep: str = ";", schema: T.StructType | str | None = None
 ) -> DataFrame:

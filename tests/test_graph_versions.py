@@ -89,10 +89,29 @@ def test_lines_escape_quotes(spark, rows):
 
 
 def test_longest_prefix_wins(spark):
-    context = {"@language": "en", "a": "http://x/", "b": "http://x/y#"}
-    frame = spark.createDataFrame([("http://x/y#z",), ("http://x/q",), ("http://w/",)], "iri string")
-    got = [r[0] for r in frame.select(S.compact_iri(F.col("iri"), context)).collect()]
-    assert got == ["b:z", "a:q", "http://w/"]
+    context = {"@language": "en", "a": "http://x/", "b": "http://x/y#", "c": "h", "B": "http://x/y#", "d": "http://x/y#zz/"}
+    iris = ["http://x/y#z", "http://x/q", "http://w/", "urn:1", None, "", "h", "http://x/y#", "http://x/y#zz/end", "http://x/y#zz"]
+    want = ["B:z", "a:q", "c:ttp://w/", "urn:1", None, "", "c:", "B:", "d:end", "B:zz"]
+    frame = spark.createDataFrame(list(enumerate(iris)), "n int, iri string")
+    for given in (context, graph.context_table(spark, context)):
+        got = graph.compact_iris(frame, ["iri"], given).orderBy("n").collect()
+        assert [r["iri"] for r in got] == want
+
+
+def test_a_vocabulary_of_any_size(spark):
+    """Twenty thousand namespaces, nested and of all lengths, against trying each."""
+    rnd = random.Random(4)
+    spaces = {"http://v/" + "".join(rnd.choice("ab/") for _ in range(rnd.randint(1, 24))) for _ in range(20_000)}
+    context = {f"p{i}": ns for i, ns in enumerate(sorted(spaces))}
+    names = {ns: p for p, ns in context.items()}
+    iris = ["http://v/" + "".join(rnd.choice("ab/") for _ in range(rnd.randint(0, 40))) for _ in range(300)]
+
+    def plain(iri):
+        longest = max((n for n in range(len(iri) + 1) if iri[:n] in names), default=None)
+        return iri if longest is None else f"{names[iri[:longest]]}:{iri[longest:]}"
+
+    got = graph.compact_iris(spark.createDataFrame([(i,) for i in iris], "iri string"), ["iri"], context).collect()
+    assert sorted(r[0] for r in got) == sorted(map(plain, iris))
 
 
 def test_version_diff(spark, rows):

@@ -142,7 +142,7 @@ def test_jsonld(spark, tmp_path):
     (tmp_path / "vocab.json").write_text(
         '{"@language": "en", "t": "http://t/", "tx": "http://t/x/"}'
     )
-    context = readers.context_map(readers.read_context(spark, str(tmp_path / "vocab.json")))
+    context = readers.read_context(spark, str(tmp_path / "vocab.json"))
     data = [("http://t/s", "http://t/p", f"http://t/x/{i}") for i in range(10)]
     data += [("http://t/u", "http://t/p", 'a "b"')]
     triples = spark.createDataFrame(data, "s string, p string, o string")
@@ -156,25 +156,29 @@ def test_jsonld(spark, tmp_path):
 
 
 def test_rules(spark, rows, tmp_path):
+    matcher = lambda rule, **flags: ["regex-matcher", flags | {"queries": [dict(zip(("label", "regex"), rule))]}]
     config = {
         "version": 1,
         "cleaner": [
             "first-step", ["other", {"x": 1}],
-            ["regex-matcher", {"isCaseSensitive": True, "isGlobal": True, "queries": [
-                {"label": "Car", "regex": r"([A-Z]{2}\-[\d]{3}\-[A-Z]{2})"},
-                {"label": "Age", "regex": r"(\d+)[ -]*(ans|jarige)"}]}],
+            matcher(rules.DEFAULT_RULES[0], isCaseSensitive=True, isGlobal=True),
+            matcher(rules.DEFAULT_RULES[1], isCaseSensitive=False, isGlobal=False),
         ],
     }
     (tmp_path / "config.json").write_text(json.dumps(config, indent=1))
     found = readers.read_rules(spark, str(tmp_path / "config.json"))
-    assert sorted(readers.rule_list(found)) == sorted(rules.DEFAULT_RULES[:2])[::1]
-    docs = spark.createDataFrame([(1, "AB-123-CD, 3 ans, 4ans, XY-999-ZZ")], "doc_id long, text string")
-    matches = rules.label_matches(docs, readers.rule_list(found))
-    assert rows(matches) == [
-        (1, "Age", 0, "3 ans"), (1, "Age", 1, "4ans"), (1, "Car", 0, "AB-123-CD"), (1, "Car", 1, "XY-999-ZZ")
-    ]
-    first = rules.label_matches(docs, readers.rule_list(found), all_matches=False)
-    assert first.count() == 2
+    docs = spark.createDataFrame(
+        [(1, "AB-123-CD, 3 ANS, 4ans, XY-999-ZZ, ab-123-cd"), (2, None), (3, "nothing")], "doc_id long, text string"
+    )
+    want = [(1, "Age", 0, "3 ANS"), (1, "Car", 0, "AB-123-CD"), (1, "Car", 1, "XY-999-ZZ")]
+    assert rows(rules.label_matches(docs, found)) == want
+    pairs = [rules.DEFAULT_RULES[0], (*rules.DEFAULT_RULES[1], False, False)]
+    assert rows(rules.label_matches(docs, pairs)) == want
+    assert rows(rules.label_matches(docs, rules.DEFAULT_RULES[1:2])) == [(1, "Age", 0, "4ans")]
+    many = spark.range(3000).selectExpr("concat('r', id) as label", "concat('x', id, ' ') as regex", "true as case_sensitive", "null as all_matches")
+    text = spark.createDataFrame([(7, "x5 x2999 x5 x3000 ")], "doc_id long, text string")
+    got = rules.label_matches(text, many.withColumn("all_matches", F.col("all_matches").cast("boolean")))
+    assert rows(got) == [(7, "r2999", 0, "x2999 "), (7, "r5", 0, "x5 "), (7, "r5", 1, "x5 ")]
 
 
 def test_tables(spark, rows, tmp_path):
