@@ -11,7 +11,13 @@ Words repeat, so those that occur often in the whole corpus are folded once. A h
 of the counts gives the lowest count that at most ``WORDS`` words of up to ``LONGEST`` bytes
 reach; they are the table that Arrow tasks look words up in, a broadcast with that bound.
 All other words are folded in the row of their document by the same fold, so no row is
-joined or shuffled and results do not depend on the table.
+joined or shuffled and results do not depend on the table. Such a document comes back
+from the look-up as the ids between its missing words, one array for each stretch.
+
+A merge copies the arrays of its word. A word above ``BLOCK`` bytes is therefore held as blocks of
+parts, each with its lowest rank: the leftmost block with the lowest rank is merged together with its
+neighbours and cut into blocks again, so a merge copies a few blocks and the list of blocks,
+never a long word.
 
 A null or empty text has no ids and decodes to no bytes. Repeated rows repeat. An empty table gives
 no rows. Only ``doc_id`` and ``text`` are read.
@@ -27,6 +33,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.functions.arrays import let
 from corpusloom.llm.base import texts, written
@@ -38,6 +45,8 @@ SHIFTS = 1 << 20
 #: Bounds of the table of frequent words.
 WORDS = 1 << 20
 LONGEST = 64
+#: Parts of a block of a long word.
+BLOCK = 128
 #: Words of the documents that a task looks up at a time; a longer document is looked up alone.
 STRETCH = 1 << 18
 
@@ -130,6 +139,74 @@ def folded(word: Column, ranks: Ranks) -> Column:
 
 
 def _folded(word: Column, ranks: Ranks, tables: Column) -> Column:
+    short = F.octet_length(word.cast("binary")) <= BLOCK
+    return F.when(short, _folded_whole(word, ranks, tables)).otherwise(_folded_blocks(word, ranks, tables))
+
+
+def _parts(word: Column, tables: Column) -> Column:
+    """One part per byte."""
+    latin = F.decode(word.cast("binary"), "ISO-8859-1")
+    return let(latin, lambda t: F.transform(positions_of(t), lambda i: F.get(tables["bytes"], F.ascii(F.substr(t, i, F.lit(1))))))
+
+
+def _folded_blocks(word: Column, ranks: Ranks, tables: Column) -> Column:
+    """The same for a long word; ``joins`` is as long as ``parts``, each part's join with the next one."""
+    rest = F.lit(1 << 30)
+
+    def blocks(flat: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.floor((F.size(flat["parts"]) - 1) / BLOCK).cast("int"))
+
+        def block(i: Column) -> Column:
+            cut = lambda a: F.slice(a, i * BLOCK + 1, F.lit(BLOCK))
+            return let(cut(flat["joins"]), lambda j: F.struct(F.array_min(j).alias("best"), cut(flat["parts"]).alias("parts"), j.alias("joins")))
+
+        return F.transform(starts, block)
+
+    def merged(flat: Column, at: Column, best: Column) -> Column:
+        """``flat`` with the parts at ``at`` and after it joined to ``best``."""
+        parts, joins = flat["parts"], flat["joins"]
+        before = F.when(at > 0, F.array(ranks.join(tables, F.get(parts, at - 1), best))).otherwise(F.array().cast("array<bigint>"))
+        after = F.when(at + 2 < F.size(parts), ranks.join(tables, best, F.get(parts, at + 2))).otherwise(F.lit(NONE))
+        return F.struct(
+            F.concat(F.slice(parts, F.lit(1), at), F.array(best), F.slice(parts, at + 3, rest)).alias("parts"),
+            F.concat(F.slice(joins, F.lit(1), F.greatest(at - 1, F.lit(0))), before, F.array(after), F.slice(joins, at + 3, rest)).alias("joins"),
+        )
+
+    def at_block(held: Column, best: Column, k: Column) -> Column:
+        """Merge in block ``k``: with the block before it and the two after it, all that a merge can touch."""
+        low = F.greatest(k - 1, F.lit(0))
+
+        def in_four(four: Column) -> Column:
+            flat = F.struct(
+                F.flatten(F.transform(four, lambda b: b["parts"])).alias("parts"),
+                F.flatten(F.transform(four, lambda b: b["joins"])).alias("joins"),
+            )
+            offset = F.when(k > 0, F.size(F.get(four, F.lit(0))["parts"])).otherwise(F.lit(0))
+            inside = F.array_position(F.get(four, k - low)["joins"], best).cast("int") - 1
+            return let(flat, lambda f: let(merged(f, offset + inside, best), blocks))
+
+        four = let(F.slice(held, low + 1, F.lit(4)), in_four)
+        return F.concat(F.slice(held, F.lit(1), low), four, F.slice(held, low + 5, rest))
+
+    def step(held: Column, _) -> Column:
+        bests = F.transform(held, lambda b: b["best"])
+        return let(
+            bests,
+            lambda found: let(
+                F.array_min(found),
+                lambda best: F.when(best == NONE, held).otherwise(
+                    let(F.array_position(found, best).cast("int") - 1, lambda k: at_block(held, best, k))
+                ),
+            ),
+        )
+
+    joins = lambda p: F.transform(p, lambda x, i: F.when(i + 1 < F.size(p), ranks.join(tables, x, F.get(p, i + 1))).otherwise(F.lit(NONE)))
+    start = let(let(_parts(word, tables), lambda p: F.struct(p.alias("parts"), joins(p).alias("joins"))), blocks)
+    rounds = F.sequence(F.lit(1), F.octet_length(word.cast("binary")))
+    return F.aggregate(rounds, start, step, lambda held: F.flatten(F.transform(held, lambda b: b["parts"])).cast("array<int>"))
+
+
+def _folded_whole(word: Column, ranks: Ranks, tables: Column) -> Column:
     none = F.array().cast("array<bigint>")
     rest = F.lit(1 << 30)  # longer than any array
 
@@ -147,8 +224,7 @@ def _folded(word: Column, ranks: Ranks, tables: Column) -> Column:
         place_of = lambda b: F.array_position(joins, b).cast("int")
         return let(best, lambda b: F.when(b == NONE, state).otherwise(let(place_of(b), lambda at: merged(parts, joins, at, b))))
 
-    latin = F.decode(word.cast("binary"), "ISO-8859-1")
-    start = let(latin, lambda t: F.transform(positions_of(t), lambda i: F.get(tables["bytes"], F.ascii(F.substr(t, i, F.lit(1))))))
+    start = _parts(word, tables)
     pairs = lambda p: F.when(F.size(p) > 1, F.transform(F.sequence(F.lit(1), F.size(p) - 1), lambda i: ranks.join(tables, F.get(p, i - 1), F.get(p, i)))).otherwise(none)
     first = let(start, lambda p: F.struct(p.alias("parts"), pairs(p).alias("joins")))
     rounds = F.sequence(F.lit(1), F.greatest(F.octet_length(word.cast("binary")), F.lit(1)))
@@ -183,19 +259,19 @@ def frequent_words(docs: DataFrame, pattern: str, ranks: Ranks, most: int = WORD
 def looked_up(at: np.ndarray, ends: np.ndarray, bounds: np.ndarray, ids: np.ndarray) -> tuple[pa.ListArray, pa.Array]:
     """Ids of documents whose words stand at ``at`` in the table, and the bounds of their missing words.
 
-    A missing word has -1 in ``at``; a document's k-th one, from 0, stands as -(k + 1) among its ids.
+    A missing word has -1 in ``at``. A document has one array of ids before each missing word and one after the last.
     """
     missing = at < 0
-    before = np.r_[0, np.cumsum(missing)]
-    hole = before[:-1] - np.repeat(before[ends[:-1]], np.diff(ends))
-    size = np.where(missing, 1, bounds[at + 1] - bounds[at])
+    size = np.where(missing, 0, bounds[at + 1] - bounds[at])
     upto = np.r_[0, np.cumsum(size)]
-    inner = np.repeat(missing, size)
     place = np.repeat(np.where(missing, 0, bounds[at]) - upto[:-1], size) + np.arange(upto[-1])
-    out = np.empty(upto[-1], np.int32)
-    out[~inner] = ids[place[~inner]]
-    out[inner] = -(hole[missing] + 1)
-    return pa.ListArray.from_arrays(pa.array(upto[ends].astype(np.int32)), pa.array(out)), pa.array(before[ends].astype(np.int32))
+    holes = np.flatnonzero(missing)
+    begins = np.r_[ends[:-1], holes]
+    begins = begins[np.argsort(begins, kind="stable")]  # a document begins before its first missing word
+    before = np.r_[0, np.cumsum(missing)][ends]
+    inner = pa.ListArray.from_arrays(pa.array(np.r_[upto[begins], upto[-1]].astype(np.int32)), pa.array(ids[place]))
+    outer = (before + np.arange(len(ends))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(outer), inner), pa.array(before.astype(np.int32))
 
 
 def encoded(docs: DataFrame, path: str, pattern: str, most: int = WORDS) -> DataFrame:
@@ -222,17 +298,29 @@ def encoded(docs: DataFrame, path: str, pattern: str, most: int = WORDS) -> Data
                 at = known[part.indices.to_numpy(zero_copy_only=False)]
                 found, missing = looked_up(at, ends[a : b + 1] - ends[a], bounds, ids)
                 rest = pa.ListArray.from_arrays(missing, part.dictionary.take(part.indices.filter(pa.array(at < 0))))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), found, rest], ["doc_id", "ids", "missing"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), found, rest], ["doc_id", "runs", "missing"])
 
     split = texts(docs).select("doc_id", split_words(F.col("text"), pattern).alias("words"))
-    found = split.mapInArrow(run, "doc_id long, ids array<int>, missing array<string>")
+    found = split.mapInArrow(run, "doc_id long, runs array<array<int>>, missing array<string>")
+    none = F.array().cast("array<int>")
     fills = let(ranks.tables, lambda t: F.transform("missing", lambda w: _folded(w, ranks, t)))
-    whole = let(fills, lambda f: F.flatten(F.transform("ids", lambda x: F.when(x < 0, F.get(f, -x - 1)).otherwise(F.array(x)))))
-    return found.select("doc_id", F.when(F.size("missing") == 0, F.col("ids")).otherwise(whole).alias("ids"))
+    whole = let(fills, lambda f: F.flatten(F.transform("runs", lambda r, i: F.concat(r, F.coalesce(F.get(f, i), none)))))
+    return found.select("doc_id", F.when(F.size("missing") == 0, F.get("runs", F.lit(0))).otherwise(whole).alias("ids"))
+
+
+def decoded(encoded_rows: DataFrame, path: str) -> DataFrame:
+    """The rows with a column ``bytes`` in the place of ``ids``: their binary pieces, one after another."""
+    ranks = read_ranks(path)
+    pieces = [b""] * (max(ranks.values(), default=-1) + 1)
+    for piece, rank in ranks.items():
+        pieces[rank] = piece
+    at = encoded_rows.columns.index("ids")
+    fields = [f for f in encoded_rows.schema.fields if f.name != "ids"]
 
+    def run(batches):
+        for batch in batches:
+            joined = [b"".join(map(pieces.__getitem__, ids.values.to_pylist())) for ids in batch.column(at)]
+            kept = [c for i, c in enumerate(batch.columns) if i != at]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(joined, pa.binary())], [f.name for f in fields] + ["bytes"])
 
-def decoded(ids: Column, path: str) -> Column:
-    """The bytes of an array of ids: their pieces, a literal of the plan, one after another."""
-    pieces = {rank: piece.hex() for piece, rank in read_ranks(path).items()}
-    table = F.split(F.lit(",".join(pieces.get(i, "") for i in range(max(pieces) + 1))), ",")
-    return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(table, i)), ""))
+    return encoded_rows.mapInArrow(run, T.StructType([*fields, T.StructField("bytes", T.BinaryType())]))

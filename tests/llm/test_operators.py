@@ -243,14 +243,27 @@ def test_fullest_is_the_best_subset_sum():
 def test_byte_bpe(docs, empty):
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    small = docs.where("length(text) < 1000 or text is null")
     for most in (1 << 20, 0):
-        got = bpe.encoded(small, RANKS, public_tokenizers.PATTERN, most).withColumn("back", bpe.decoded(F.col("ids"), RANKS)).collect()
-        want = [(d, library.encode_ordinary(t), t.encode()) for d, t in texts_of(small)]
-        assert sorted(((r["doc_id"], r["ids"], bytes(r["back"])) for r in got), key=repr) == sorted(want, key=repr)
+        ids = bpe.encoded(docs, RANKS, public_tokenizers.PATTERN, most)
+        got = bpe.decoded(ids.withColumn("kept", F.col("ids")), RANKS).collect()
+        want = [(d, library.encode_ordinary(t), t.encode()) for d, t in texts_of(docs)]
+        assert sorted(((r["doc_id"], r["kept"], bytes(r["bytes"])) for r in got), key=repr) == sorted(want, key=repr)
     assert bpe.encoded(empty, RANKS, public_tokenizers.PATTERN).count() == 0
 
 
+def test_long_words(spark):
+    """Words of one letter, of random letters and of other scripts, longer than a block, against the library."""
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(6)
+    words = ["".join(rng.choice(letters) for _ in range(n)) for letters in ("a", "ab", "etaoinshr", "éßü", "中文字", "=") for n in (127, 128, 129, 300, 1500)]
+    words += ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n)) for n in (257, 4000)]
+    frame = spark.createDataFrame(list(enumerate(words)), "doc_id long, text string")
+    for most in (1 << 20, 0):
+        got = bpe.encoded(frame, RANKS, public_tokenizers.PATTERN, most).collect()
+        assert {r["doc_id"]: r["ids"] for r in got} == {i: library.encode_ordinary(w) for i, w in enumerate(words)}
+
+
 def test_language(spark, docs, empty):
     real = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     model = language.fitted(real)
