@@ -14,7 +14,7 @@ All other words are folded in the row of their document by the same fold, so no
 joined or shuffled and results do not depend on the table. Such a document comes back
 from the look-up as the ids between its missing words, one array for each stretch.
 
-A merge copies the arrays of its word. A word above ``BLOCK`` bytes is therefore held as blocks of
+A merge copies the arrays of its word. A word above ``LONG_WORD`` bytes is therefore held as blocks of
 parts, each with its lowest rank: the leftmost block with the lowest rank is merged together with its
 neighbours and cut into blocks again, so a merge copies a few blocks and the list of blocks,
 never a long word.
@@ -45,8 +45,9 @@ SHIFTS = 1 << 20
 #: Bounds of the table of frequent words.
 WORDS = 1 << 20
 LONGEST = 64
-#: Parts of a block of a long word.
-BLOCK = 128
+#: Bytes above which a word is long, and parts of a block of a long word.
+LONG_WORD = 128
+BLOCK = 64
 #: Words of the documents that a task looks up at a time; a longer document is looked up alone.
 STRETCH = 1 << 18
 
@@ -139,7 +140,7 @@ def folded(word: Column, ranks: Ranks) -> Column:
 
 
 def _folded(word: Column, ranks: Ranks, tables: Column) -> Column:
-    short = F.octet_length(word.cast("binary")) <= BLOCK
+    short = F.octet_length(word.cast("binary")) <= LONG_WORD
     return F.when(short, _folded_whole(word, ranks, tables)).otherwise(_folded_blocks(word, ranks, tables))
 
 
@@ -172,38 +173,52 @@ def _folded_blocks(word: Column, ranks: Ranks, tables: Column) -> Column:
             F.concat(F.slice(joins, F.lit(1), F.greatest(at - 1, F.lit(0))), before, F.array(after), F.slice(joins, at + 3, rest)).alias("joins"),
         )
 
-    def at_block(held: Column, best: Column, k: Column) -> Column:
-        """Merge in block ``k``: with the block before it and the two after it, all that a merge can touch."""
-        low = F.greatest(k - 1, F.lit(0))
+    def planned(held: Column) -> Column:
+        """The place ``low`` of the up to four blocks that the next merge touches, and these blocks after it; -1 for none."""
 
-        def in_four(four: Column) -> Column:
+        def in_four(four: Column, best: Column, k: Column, low: Column) -> Column:
             flat = F.struct(
                 F.flatten(F.transform(four, lambda b: b["parts"])).alias("parts"),
                 F.flatten(F.transform(four, lambda b: b["joins"])).alias("joins"),
             )
             offset = F.when(k > 0, F.size(F.get(four, F.lit(0))["parts"])).otherwise(F.lit(0))
             inside = F.array_position(F.get(four, k - low)["joins"], best).cast("int") - 1
-            return let(flat, lambda f: let(merged(f, offset + inside, best), blocks))
+            after = let(flat, lambda f: let(merged(f, offset + inside, best), blocks))
+            return F.struct(low.alias("low"), after.alias("four"))
 
-        four = let(F.slice(held, low + 1, F.lit(4)), in_four)
-        return F.concat(F.slice(held, F.lit(1), low), four, F.slice(held, low + 5, rest))
+        def at_block(best: Column, k: Column) -> Column:
+            low = F.greatest(k - 1, F.lit(0))
+            return let(F.slice(held, low + 1, F.lit(4)), lambda four: in_four(four, best, k, low))
 
-    def step(held: Column, _) -> Column:
-        bests = F.transform(held, lambda b: b["best"])
         return let(
-            bests,
+            F.transform(held, lambda b: b["best"]),
             lambda found: let(
                 F.array_min(found),
-                lambda best: F.when(best == NONE, held).otherwise(
-                    let(F.array_position(found, best).cast("int") - 1, lambda k: at_block(held, best, k))
+                lambda best: F.when(best == NONE, F.struct(F.lit(-1).alias("low"), empty.alias("four"))).otherwise(
+                    let(F.array_position(found, best).cast("int") - 1, lambda k: at_block(best, k))
                 ),
             ),
         )
 
+    # A transform copies what it gives, so the list of blocks never goes through one: one step plans a
+    # merge, which gives a few blocks, and the next step puts them into the list.
+    empty = F.array().cast("array<struct<best:bigint,parts:array<bigint>,joins:array<bigint>>>")
+    unplanned = F.lit(None).cast("struct<low:int,four:array<struct<best:bigint,parts:array<bigint>,joins:array<bigint>>>>")
+
+    def step(state: Column, _) -> Column:
+        held, plan = state["held"], state["plan"]
+        replaced = F.concat(F.slice(held, F.lit(1), plan["low"]), plan["four"], F.slice(held, plan["low"] + 5, rest))
+        return (
+            F.when(plan["low"] < 0, state)
+            .when(plan.isNull(), F.struct(held.alias("held"), planned(held).alias("plan")))
+            .otherwise(F.struct(replaced.alias("held"), unplanned.alias("plan")))
+        )
+
     joins = lambda p: F.transform(p, lambda x, i: F.when(i + 1 < F.size(p), ranks.join(tables, x, F.get(p, i + 1))).otherwise(F.lit(NONE)))
     start = let(let(_parts(word, tables), lambda p: F.struct(p.alias("parts"), joins(p).alias("joins"))), blocks)
-    rounds = F.sequence(F.lit(1), F.octet_length(word.cast("binary")))
-    return F.aggregate(rounds, start, step, lambda held: F.flatten(F.transform(held, lambda b: b["parts"])).cast("array<int>"))
+    rounds = F.sequence(F.lit(1), 2 * F.octet_length(word.cast("binary")))
+    state = F.struct(start.alias("held"), unplanned.alias("plan"))
+    return F.aggregate(rounds, state, step, lambda s: F.flatten(F.transform(s["held"], lambda b: b["parts"])).cast("array<int>"))
 
 
 def _folded_whole(word: Column, ranks: Ranks, tables: Column) -> Column:
