@@ -289,8 +289,40 @@ def looked_up(at: np.ndarray, ends: np.ndarray, bounds: np.ndarray, ids: np.ndar
     return pa.ListArray.from_arrays(pa.array(outer), inner), pa.array(before.astype(np.int32))
 
 
+def assembled(runs: pa.ListArray, fills: pa.ListArray) -> pa.ListArray:
+    """The ids of documents from the ``runs`` of ids between their missing words and the ids of these."""
+    sides = []
+    for lists in (runs, fills):
+        inner = lists.flatten()
+        outer, at = (x.offsets.to_numpy().astype(np.int64) for x in (lists, inner))
+        sides.append((outer - outer[0], at - at[0], inner.flatten().to_numpy(zero_copy_only=False)))
+    (outer, at, values), (gaps, fill_at, fill) = sides
+    docs = outer + gaps  # pieces of a document: a run, a word, a run, ...
+    size, slots = np.zeros(docs[-1], np.int64), []
+    for bounds, offset, sizes in ((outer, 0, np.diff(at)), (gaps, 1, np.diff(fill_at))):
+        owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+        slot = docs[owner] + 2 * (np.arange(len(owner)) - bounds[owner]) + offset
+        size[slot] = sizes
+        slots.append((slot, sizes))
+    begin = np.r_[0, np.cumsum(size)]
+    ids = np.empty(begin[-1], np.int32)
+    for (slot, sizes), start, source in zip(slots, (at, fill_at), (values, fill)):
+        ids[np.repeat(begin[slot] - start[:-1], sizes) + np.arange(len(source))] = source
+    return pa.ListArray.from_arrays(pa.array(begin[docs].astype(np.int32)), pa.array(ids))
+
+
 def encoded(docs: DataFrame, path: str, pattern: str, most: int = WORDS) -> DataFrame:
     """``doc_id, ids`` of every row."""
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), assembled(batch.column(1), batch.column(2))], ["doc_id", "ids"])
+
+    return stretched(docs, path, pattern, most).mapInArrow(run, "doc_id long, ids array<int>")
+
+
+def stretched(docs: DataFrame, path: str, pattern: str, most: int = WORDS) -> DataFrame:
+    """``doc_id, runs, fills`` of every row: ids between the words that no table holds, and the ids of these words."""
     ranks = Ranks.of(read_ranks(path))
     known = frequent_words(docs, pattern, ranks, most)
     words, lists = (pa.concat_arrays(c.chunks) if c.num_chunks else pa.array([], c.type) for c in known.columns)
@@ -317,25 +349,53 @@ def encoded(docs: DataFrame, path: str, pattern: str, most: int = WORDS) -> Data
 
     split = texts(docs).select("doc_id", split_words(F.col("text"), pattern).alias("words"))
     found = split.mapInArrow(run, "doc_id long, runs array<array<int>>, missing array<string>")
-    none = F.array().cast("array<int>")
     fills = let(ranks.tables, lambda t: F.transform("missing", lambda w: _folded(w, ranks, t)))
-    whole = let(fills, lambda f: F.flatten(F.transform("runs", lambda r, i: F.concat(r, F.coalesce(F.get(f, i), none)))))
-    return found.select("doc_id", F.when(F.size("missing") == 0, F.get("runs", F.lit(0))).otherwise(whole).alias("ids"))
+    none = F.array().cast("array<array<int>>")
+    return found.select("doc_id", "runs", F.when(F.size("missing") == 0, none).otherwise(fills).alias("fills"))
 
 
-def decoded(encoded_rows: DataFrame, path: str) -> DataFrame:
-    """The rows with a column ``bytes`` in the place of ``ids``: their binary pieces, one after another."""
+def pieces_of(path: str) -> pa.Array:
+    """The bytes of each id."""
     ranks = read_ranks(path)
     pieces = [b""] * (max(ranks.values(), default=-1) + 1)
     for piece, rank in ranks.items():
         pieces[rank] = piece
+    return pa.array(pieces, pa.large_binary())
+
+
+def joined(ids: pa.ListArray, pieces: pa.Array) -> pa.Array:
+    """The binary pieces of each list of ids, one after another."""
+    bounds = ids.offsets.to_numpy()
+    taken = pieces.take(ids.flatten())
+    offsets = np.frombuffer(taken.buffers()[1], np.int64)[taken.offset :][bounds - bounds[0]] if len(taken) else np.zeros(len(bounds), np.int64)
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(offsets.tobytes()), taken.buffers()[2]]).cast(pa.binary())
+
+
+def decoded(encoded_rows: DataFrame, path: str) -> DataFrame:
+    """The rows with a column ``bytes`` in the place of ``ids``: their binary pieces, one after another."""
+    pieces = pieces_of(path)
     at = encoded_rows.columns.index("ids")
     fields = [f for f in encoded_rows.schema.fields if f.name != "ids"]
 
     def run(batches):
         for batch in batches:
-            joined = [b"".join(map(pieces.__getitem__, ids.values.to_pylist())) for ids in batch.column(at)]
             kept = [c for i, c in enumerate(batch.columns) if i != at]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(joined, pa.binary())], [f.name for f in fields] + ["bytes"])
+            yield pa.RecordBatch.from_arrays([*kept, joined(batch.column(at), pieces)], [f.name for f in fields] + ["bytes"])
 
     return encoded_rows.mapInArrow(run, T.StructType([*fields, T.StructField("bytes", T.BinaryType())]))
+
+
+def round_trip(docs: DataFrame, path: str, pattern: str, most: int = WORDS) -> DataFrame:
+    """``doc_id, n_tokens, ids, bytes``: encoded and decoded in one pass; ``ids`` as decimals with commas between."""
+    pieces = pieces_of(path)
+
+    def run(batches):
+        for batch in batches:
+            ids = assembled(batch.column(1), batch.column(2))
+            decimals = pa.ListArray.from_arrays(ids.offsets, ids.values.cast(pa.string()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pc.list_value_length(ids).cast(pa.int64()), pc.binary_join(decimals, ","), joined(ids, pieces)],
+                ["doc_id", "n_tokens", "ids", "bytes"],
+            )
+
+    return stretched(docs, path, pattern, most).mapInArrow(run, "doc_id long, n_tokens long, ids string, bytes binary")

@@ -68,12 +68,8 @@ def op10_toxicity(spark, d):
 @query
 def op9_byte_bpe(spark, d):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    ids = bpe.encoded(table(spark, d, "documents"), path, public_tokenizers.PATTERN)
-    rows = ids.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"), "ids",
-    )
-    return bpe.decoded(rows, path).select("doc_id", "n_tokens", "ids_sha256", F.sha2("bytes", 256).alias("decoded_sha256"))
+    rows = bpe.round_trip(table(spark, d, "documents"), path, public_tokenizers.PATTERN)
+    return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
 @query

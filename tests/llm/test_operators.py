@@ -248,7 +248,11 @@ def test_byte_bpe(docs, empty):
         got = bpe.decoded(ids.withColumn("kept", F.col("ids")), RANKS).collect()
         want = [(d, library.encode_ordinary(t), t.encode()) for d, t in texts_of(docs)]
         assert sorted(((r["doc_id"], r["kept"], bytes(r["bytes"])) for r in got), key=repr) == sorted(want, key=repr)
+        both = bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN, most).collect()
+        want = [(d, len(i), ",".join(map(str, i)), t) for d, i, t in want]
+        assert sorted(((r["doc_id"], r["n_tokens"], r["ids"], bytes(r["bytes"])) for r in both), key=repr) == sorted(want, key=repr)
     assert bpe.encoded(empty, RANKS, public_tokenizers.PATTERN).count() == 0
+    assert bpe.round_trip(empty, RANKS, public_tokenizers.PATTERN).count() == 0
 
 
 def test_long_words(spark):
