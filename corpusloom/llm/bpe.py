@@ -50,6 +50,8 @@ LONG_WORD = 128
 BLOCK = 64
 #: Words of the documents that a task looks up at a time; a longer document is looked up alone.
 STRETCH = 1 << 18
+#: Documents that are put together and decoded at a time.
+TOGETHER = 256
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -390,7 +392,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, most: int = WORDS) -> D
     pieces = pieces_of(path)
 
     def run(batches):
-        for batch in batches:
+        for batch in (b.slice(a, TOGETHER) for b in batches for a in range(0, len(b), TOGETHER)):
             ids = assembled(batch.column(1), batch.column(2))
             decimals = pa.ListArray.from_arrays(ids.offsets, ids.values.cast(pa.string()))
             yield pa.RecordBatch.from_arrays(

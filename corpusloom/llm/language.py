@@ -13,7 +13,7 @@ first is a score that nearly all calibration passages with the right language re
 cut short. The second is on the share of subwords that training has met. A passage under
 several languages has each of them right, so labels that disagree raise neither.
 
-A null text or one without a letter is ``und`` with score 0 and is rejected; so is every
+A null text or one without a letter (a mark alone is none) is ``und`` with score 0 and is rejected; so is every
 text if no row has a language. Repeated rows are predicted alike. Null languages and
 ``doc_id`` are not learned from. An empty table gives no rows.
 """
@@ -88,8 +88,12 @@ class Model:
             if not self.languages or not len(found):
                 names += ["und"] * (b - a)
                 continue
-            some = np.flatnonzero(n)
-            rows = np.add.reduceat(self.table[found], begins[some], axis=0) / n[some, None]
+            some = np.array([i for i in np.flatnonzero(n) if any(map(str.isalpha, full[a + i]))], np.int64)
+            if not len(some):
+                names += ["und"] * (b - a)
+                continue
+            total = np.add.reduceat(self.table[found], np.minimum(begins[:-1], len(found) - 1), axis=0)
+            rows = total[some] / n[some, None]
             p = softmax(rows)
             best = p.argmax(axis=1)
             part = ["und"] * (b - a)
@@ -97,7 +101,8 @@ class Model:
                 part[i] = self.languages[k]
             names += part
             scores[a:b][some] = p[np.arange(len(best)), best]
-            seen[a:b][some] = np.add.reduceat(self.seen[found].astype(np.float64), begins[some]) / n[some]
+            met = np.add.reduceat(self.seen[found].astype(np.float64), np.minimum(begins[:-1], len(found) - 1))
+            seen[a:b][some] = met[some] / n[some]
         return names, scores, (scores < self.least_score) | (seen < self.least_seen) | (scores == 0)
 
 

@@ -278,6 +278,9 @@ def test_language(spark, docs, empty):
     none = {r["doc_id"]: r for r in language.predicted(docs, model).collect()}
     for d in (0, 1, 2, 9):
         assert (none[d]["lang_pred"], none[d]["score"], none[d]["rejected"]) == ("und", 0.0, True)
+    marks = ["the and", "\u0301\u0300", "12 \u0301", "of the", "\u0303", "é"]
+    assert [n == "und" for n in model.predict(marks)[0]] == [False, True, True, False, True, False]
+    assert model.predict(marks)[1].tolist()[3] == model.predict(["of the"])[1].tolist()[0]
     foreign = spark.createDataFrame([(1, "Съешь же ещё этих мягких французских булок да выпей чаю", None, None, None)], SCHEMA)
     assert language.predicted(foreign, model).first()["rejected"]
     assert language.accepted(docs, model).columns == docs.columns
