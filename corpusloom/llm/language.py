@@ -88,12 +88,13 @@ class Model:
             if not self.languages or not len(found):
                 names += ["und"] * (b - a)
                 continue
-            some = np.array([i for i in np.flatnonzero(n) if any(map(str.isalpha, full[a + i]))], np.int64)
+            have = np.flatnonzero(n)
+            lettered = np.array([any(map(str.isalpha, full[a + i])) for i in have.tolist()], bool)
+            some = have[lettered]
             if not len(some):
                 names += ["und"] * (b - a)
                 continue
-            total = np.add.reduceat(self.table[found], np.minimum(begins[:-1], len(found) - 1), axis=0)
-            rows = total[some] / n[some, None]
+            rows = np.add.reduceat(self.table[found], begins[have], axis=0)[lettered] / n[some, None]
             p = softmax(rows)
             best = p.argmax(axis=1)
             part = ["und"] * (b - a)
@@ -101,8 +102,7 @@ class Model:
                 part[i] = self.languages[k]
             names += part
             scores[a:b][some] = p[np.arange(len(best)), best]
-            met = np.add.reduceat(self.seen[found].astype(np.float64), np.minimum(begins[:-1], len(found) - 1))
-            seen[a:b][some] = met[some] / n[some]
+            seen[a:b][some] = np.add.reduceat(self.seen[found].astype(np.float64), begins[have])[lettered] / n[some]
         return names, scores, (scores < self.least_score) | (seen < self.least_seen) | (scores == 0)
 
 

@@ -280,7 +280,11 @@ def test_language(spark, docs, empty):
         assert (none[d]["lang_pred"], none[d]["score"], none[d]["rejected"]) == ("und", 0.0, True)
     marks = ["the and", "\u0301\u0300", "12 \u0301", "of the", "\u0303", "é"]
     assert [n == "und" for n in model.predict(marks)[0]] == [False, True, True, False, True, False]
-    assert model.predict(marks)[1].tolist()[3] == model.predict(["of the"])[1].tolist()[0]
+    for blank in ("\u0301", "", None):
+        together = model.predict(["the and", blank, "of the", blank, blank])
+        for i in (0, 2):
+            alone = model.predict([["the and", 0, "of the"][i]])
+            assert together[1][i] == alone[1][0] and together[2][i] == alone[2][0]
     foreign = spark.createDataFrame([(1, "Съешь же ещё этих мягких французских булок да выпей чаю", None, None, None)], SCHEMA)
     assert language.predicted(foreign, model).first()["rejected"]
     assert language.accepted(docs, model).columns == docs.columns
