@@ -42,7 +42,7 @@ LANGUAGES = 500
 #: Characters of the short texts that calibration cuts from its passages.
 SHORT = (20, 80)
 #: Characters scored at a time.
-GROUP = 1 << 18
+GROUP = 1 << 16
 
 
 @cache

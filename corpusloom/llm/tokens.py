@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 #: Units a worker keeps.
 KEPT = 1 << 19
 #: Characters of a group of texts; a longer text is a group of its own.
-GROUP = 1 << 19
+GROUP = 1 << 17
 #: Units of more characters are not looked up by their hash.
 LONGEST = 64
 
