@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from corpusloom.functions.arrays import let
+from corpusloom.functions.html import attribute, document_base, resolve, tags
+
 # The parts of a URI as RFC 3986, appendix B, cuts them.
 _URI = r"^(?:([^:/?#]+):)?(?://([^/?#]*))?([^?#]*)(?:\?[^#]*)?(?:#((?s:.*)))?"
 
@@ -84,35 +87,21 @@ def fetch_route(url: Column) -> Column:
     )
 
 
-def resolve(href: Column, base: Column) -> Column:
-    """Absolute form of a link found on the page ``base``."""
-    page = F.regexp_extract(base, r"^([^?#]*)", 1)
-    site = url_site(base)
-    folder = F.when(
-        F.length(page) > F.length(site), F.regexp_extract(page, r"^(.*/)", 1)
-    ).otherwise(F.concat(site, F.lit("/")))
-    return (
-        F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href)
-        .when(href.startswith("//"), F.concat(url_scheme(base), F.lit(":"), href))
-        .when(href.startswith("/"), F.concat(site, href))
-        .when(href.startswith("?"), F.concat(page, href))
-        .otherwise(F.concat(folder, href))
-    )
+def links(html: Column, url: Column) -> Column:
+    """Absolute links of a page in page order; anchors, scripts and mail are left out.
 
-
-def links(html: Column, base: Column) -> Column:
-    """Absolute links of a page in page order; anchors, scripts and mail are left out."""
-    hrefs = F.regexp_extract_all(
-        html, F.lit(r"""(?i)<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""), F.lit(1)
-    )
-    kept = F.filter(hrefs, lambda h: ~h.rlike(r"^(#|javascript:|mailto:|$)"))
-    return F.transform(kept, lambda h: resolve(h, base))
+    A link is the ``href`` of an ``<a>``, quoted or not, with its character references decoded,
+    resolved against the page's ``<base>`` or its own URL.
+    """
+    hrefs = F.transform(tags(html, "a"), lambda t: attribute(t, "href"))
+    kept = F.filter(hrefs, lambda h: ~h.rlike(r"(?i)^(#|javascript:|mailto:|$)"))
+    return let(document_base(html, url), lambda base: F.transform(kept, lambda h: resolve(h, base)))
 
 
-def embedded_src(html: Column, base: Column) -> Column:
-    """Site of the page followed by the ``src`` of its first ``<embed>``; null if none."""
-    src = F.regexp_extract(html, r"""(?i)<embed\s[^>]*?src\s*=\s*["']([^"']*)["']""", 1)
-    return F.when(src != "", F.concat(url_site(base), src))
+def embedded_src(html: Column, url: Column) -> Column:
+    """Absolute form of the first ``src`` of an ``<embed>`` of the page; null if none."""
+    sources = F.filter(F.transform(tags(html, "embed"), lambda t: attribute(t, "src")), lambda s: s != "")
+    return resolve(F.get(sources, F.lit(0)), document_base(html, url))
 
 
 def pdf_flag(content: Column) -> Column:

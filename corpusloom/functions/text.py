@@ -17,6 +17,12 @@ def split_lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
+def code_point(number: Column) -> Column:
+    """The character of a code point; U+FFFD where there is none."""
+    known = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+    return F.when(known, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
+
+
 def dehyphenate(text: Column) -> Column:
     """Trim, delete every hyphen that a blank follows, end with a line break."""
     return F.concat(F.replace(strip(text), F.lit("- "), F.lit("")), F.lit("\n"))
