@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions.scalars import quoted_token
+from corpusloom.functions.text import code_point
 from corpusloom.operators.running import running_total
 from corpusloom.session import checkpointed
 
@@ -127,50 +128,71 @@ def ntriples_lines(triples: DataFrame) -> DataFrame:
     return triples.select(F.concat_ws(" ", *parts, F.lit(".")).alias("value"))
 
 
-# The terms of an N-Triples line. No pattern repeats a group, as a
-# long literal would exhaust the stack.
-_NAMED = r"(?:<([^>]*)>|\"([^\"\\]*)\"|(_:\S+))"
-_OBJECT = r"(?:<([^>]*)>|\"(.*)\"(?:@[A-Za-z0-9-]+|\^\^<[^>]*>)?|(_:\S+))"
-_LINE = rf"^\s*{_NAMED}\s+{_NAMED}\s+{_OBJECT}\s*\.\s*(?:#[^\"]*)?$"
+# The terms and escapes of N-Triples. All repeats are possessive, so a literal of any
+# length needs no stack. A literal may stand anywhere, as ``ntriples_lines`` writes it.
+_CODE = r"\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}"
+_ESCAPE = rf"\\[tbnrf\"'\\]|{_CODE}"
+_TERM = rf"(?:<([^>\n\r]*+)>|\"((?:[^\"\\\n\r]++|{_ESCAPE})*+)\"(?:@[A-Za-z0-9-]++|\^\^<[^>\n\r]*+>)?+|(_:[^\s<\"]*[^\s<\".]))"
+_LINE = rf"^\s*+{_TERM}\s*+{_TERM}\s*+{_TERM}\s*+\.\s*+(?:#[^\n\r]*+)?$"
+_ESCAPED = {"t": "\t", "b": "\b", "n": "\n", "r": "\r", "f": "\f"}
 
+PERMISSIVE, DROPMALFORMED, FAILFAST = "PERMISSIVE", "DROPMALFORMED", "FAILFAST"
 
-def parse_ntriples(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Triples of N-Triples lines; language tags and datatypes are dropped.
 
-    Blank lines and comments give no row; any other line that is not a triple is
-    an error.
+def _unescaped(text: Column, escape: str) -> Column:
+    """A term without its escapes, each read once from left to right; an IRI only has those of ``_CODE``."""
+
+    def piece(p: Column) -> Column:
+        mark = F.substr(p, F.lit(2), F.lit(1))
+        out = F.when(~p.startswith("\\") | (F.length(p) == 1), p)
+        out = out.when(mark.isin("u", "U"), code_point(F.conv(F.substr(p, F.lit(3)), 16, 10).cast("long")))
+        for written, raw in _ESCAPED.items():
+            out = out.when(mark == written, F.lit(raw))
+        return out.otherwise(mark)
+
+    pieces = F.regexp_extract_all(text, F.lit(rf"{escape}|[^\\]++|\\"), F.lit(0))
+    return F.when(F.contains(text, F.lit("\\")), F.array_join(F.transform(pieces, piece), "")).otherwise(text)
+
+
+def parse_ntriples(lines: DataFrame, column: str = "value", mode: str = FAILFAST) -> DataFrame:
+    """Triples of N-Triples lines; language tags and datatypes are dropped, escapes are read.
+
+    One pattern cuts a line into its terms, in one pass. Blank lines, comments and nulls give no row. What
+    becomes of any other line that is no triple is said by ``mode``, as in Spark's readers: it
+    is an error, gives no row, or (``PERMISSIVE``) gives a row with null terms, the line in ``bad_line`` and
+    in ``reason`` the first part that is wrong.
     """
-    text = F.col(column)
-    body = lines.where(~text.rlike(r"^\s*(#.*)?$"))
-
-    def parts(at: int):
-        return (F.regexp_extract(text, _LINE, at + i) for i in range(3))
-
-    def plain(literal: Column) -> Column:
-        # A backslash pair is set aside first, so that what follows it stays as it is.
-        for written, raw in (
-            ("\\\\", "\u0000"),
-            ('\\"', '"'),
-            ("\\n", "\n"),
-            ("\\r", "\r"),
-            ("\\t", "\t"),
-            ("\u0000", "\\"),
-        ):
-            literal = F.replace(literal, F.lit(written), F.lit(raw))
-        return literal
-
-    def term(at: int) -> Column:
-        iri, literal, blank = parts(at)
-        return F.when(iri != "", iri).when(blank != "", blank).otherwise(plain(literal))
-
-    _, literal, _ = parts(7)
-    unescaped = F.replace(F.replace(literal, F.lit("\\\\"), F.lit("")), F.lit('\\"'), F.lit(""))
-    checked = body.where(
-        F.when(text.rlike(_LINE) & ~F.contains(unescaped, F.lit('"')), True).otherwise(
-            F.raise_error(F.concat(F.lit("not a triple: "), text)).cast("boolean")
+    if mode not in (PERMISSIVE, DROPMALFORMED, FAILFAST):
+        raise ValueError(f"unknown mode {mode}")
+    # no term holds a line break, so one stands between what the groups found
+    cut = F.regexp_replace(F.col(column), _LINE, "\n".join(f"${i}" for i in range(1, 10)))
+
+    def triple(both: Column) -> Column:
+        line = both["line"]
+        parts = F.split(both["cut"], "\n", -1)
+        good = (F.size(parts) == 9) & ~F.contains(line, F.lit("\n"))
+
+        def term(at: int) -> Column:
+            iri, literal, blank = (F.get(parts, F.lit(at + i)) for i in range(3))
+            return F.when(good, F.concat(_unescaped(iri, _CODE), _unescaped(literal, _ESCAPE), blank))
+
+        reason = F.lit("no end")
+        for n, name in reversed(list(enumerate(("subject", "predicate", "object")))):
+            found = line.rlike(rf"^\s*+{n * rf'{_TERM}\s*+'}{_TERM}")
+            reason = F.when(~found, f"no {name}").otherwise(reason)
+        if mode == FAILFAST:
+            reason = F.raise_error(F.concat(F.lit("not a triple, "), reason, F.lit(": "), line)).cast("string")
+        return F.struct(
+            term(0).alias("s"), term(3).alias("p"), term(6).alias("o"),
+            F.when(~good, line).alias("bad_line"), F.when(~good, reason).alias("reason"),
         )
-    )
-    return checked.select(term(1).alias("s"), term(4).alias("p"), term(7).alias("o"))
+
+    both = F.struct(F.col(column).alias("line"), cut.alias("cut"))
+    read = lines.where(~F.col(column).rlike(r"^\s*+(#.*)?$")).select(F.inline(F.transform(F.array(both), triple)))
+    if mode == PERMISSIVE:
+        return read
+    # the reason is asked for, so that a bad line is met whichever columns are read
+    return read.where(F.col("reason").isNull()).select("s", "p", "o")
 
 
 def jsonld_nodes(

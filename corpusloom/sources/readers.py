@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from corpusloom.functions.scalars import read_file_stem
 from corpusloom.operators.corpus import entities_of
-from corpusloom.operators.graph import parse_ntriples
+from corpusloom.operators.graph import FAILFAST, parse_ntriples
 
 TODO_SCHEMA = "type string, entity_id string, url string, path string"
 
@@ -129,8 +129,9 @@ def list_keys(
     return files.where(F.col("path").startswith(prefix))
 
 
-def read_triples(spark: SparkSession, path: str) -> DataFrame:
-    return parse_ntriples(spark.read.text(path))
+def read_triples(spark: SparkSession, path: str, mode: str = FAILFAST) -> DataFrame:
+    """Triples of N-Triples files; ``mode`` says what becomes of a line that is none."""
+    return parse_ntriples(spark.read.text(path), mode=mode)
 
 
 def read_context(spark: SparkSession, path: str) -> DataFrame:

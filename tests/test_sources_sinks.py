@@ -138,6 +138,28 @@ def test_triple_syntax(spark, rows, tmp_path):
         readers.read_triples(spark, str(tmp_path / "bad.nt")).collect()
 
 
+def test_triple_escapes_and_bad_lines(spark, rows, tmp_path):
+    bad = ["<http://a> <http://p>", 'x <http://p> "o" .', '<http://a> <http://p> "a"b" .', '<http://a> <http://p> "\\x" .',
+           '<http://a> <http://p> "o"', '<http://a> p "o" .']
+    good = [r'<http://\u00e9> <http://p> "\u00e9\U0001F600\\u00e9\t\"\n\'" .', '<http://a><http://p>_:b.c.', r'<http://a\b> "p" "" .',
+            f'<http://a> <http://p> "{"x" * 500_000}{chr(92) * 100_000}"@en-GB.#']
+    want = [("http://é", "http://p", 'é😀\\u00e9\t"\n\''), ("http://a", "http://p", "_:b.c"), ("http://a\\b", "p", ""),
+            ("http://a", "http://p", "x" * 500_000 + chr(92) * 50_000)]
+    (tmp_path / "g.nt").write_text("\n".join([good[0], *bad, *good[1:], "", " # note"]) + "\n", encoding="utf8")
+    path = str(tmp_path / "g.nt")
+    assert rows(readers.read_triples(spark, path, graph.DROPMALFORMED)) == sorted(want, key=repr)
+    kept = readers.read_triples(spark, path, graph.PERMISSIVE)
+    assert rows(kept.where("reason is null").select("s", "p", "o")) == sorted(want, key=repr)
+    reasons = {r["bad_line"]: r["reason"] for r in kept.where("s is null").collect()}
+    assert reasons == dict(zip(bad, ["no object", "no subject", "no end", "no object", "no end", "no predicate"]))
+    with pytest.raises(Exception, match="not a triple, no object"):
+        readers.read_triples(spark, path).select("p").collect()
+    with pytest.raises(ValueError):
+        readers.read_triples(spark, path, "odd")
+    broken = spark.createDataFrame([('<a:b> <a:p> "x\ny" .',), (None,)], "value string")
+    assert rows(graph.parse_ntriples(broken, mode=graph.PERMISSIVE).select("reason")) == [("no object",)]
+
+
 def test_jsonld(spark, tmp_path):
     (tmp_path / "vocab.json").write_text(
         '{"@language": "en", "t": "http://t/", "tx": "http://t/x/"}'
