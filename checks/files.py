@@ -9,7 +9,7 @@ from checks.queries import query, textrank_docs, worklist
 from corpusloom.operators import corpus as C
 from corpusloom.operators import rules
 from corpusloom.session import shared_folder
-from corpusloom.sinks import writers
+from corpusloom.sinks import batches, writers
 from corpusloom.sources import readers
 from corpusloom.streaming import incremental
 
@@ -41,9 +41,11 @@ def todo_file(spark, d):
 
 @query
 def stored_texts(spark, d):
+    """The texts of all documents, written twice as the same batch."""
     folder = shared_folder(spark, "texts")
-    writers.write_texts(V.table(spark, d, "documents").select("doc_id", "text"), folder)
-    return spark.read.parquet(folder)
+    for _ in range(2):
+        writers.write_texts(V.table(spark, d, "documents").select("doc_id", "text"), folder)
+    return batches.read_batches(spark, folder).drop("batch")
 
 
 @query
@@ -90,8 +92,8 @@ def synced_files(spark, d):
         F.regexp_extract("path", r"\.([^.]+)$", 1).alias("kind"), "path",
     )
     done = C.stored_ids(V.files(spark, d), "pdf").withColumn("kind", F.lit("pdf"))
-    there, new = writers.sync_missing(local, done, folder)
-    return spark.read.parquet(folder).select(
+    there, new = writers.sync_missing(local, done, folder, "first")
+    return batches.read_batches(spark, folder).select(
         "entity_id", "kind", "path", F.lit(there).alias("there"), F.lit(new).alias("new")
     )
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators.corpus import manifest_lines
 from corpusloom.operators.graph import distinct_triples, jsonld_nodes, ntriples_lines
+from corpusloom.sinks.batches import write_batch
 
 
 def write_todo(tasks: DataFrame, path: str, todo: str | None = None) -> bool:
@@ -18,10 +19,15 @@ def write_todo(tasks: DataFrame, path: str, todo: str | None = None) -> bool:
     return True
 
 
-def write_texts(docs: DataFrame, folder: str, kind: str = "txt") -> None:
-    """Write non-empty texts keyed by document id, one folder per kind."""
+def write_texts(docs: DataFrame, folder: str, kind: str = "txt", batch: str = "all") -> int:
+    """Write the non-empty texts of a batch, one folder per kind; return how many.
+
+    Written again, a batch adds no row; ``batches.read_batches`` reads the complete ones.
+    """
+    seen = Observation("texts")
     kept = docs.where(F.length("text") > 0).select("doc_id", "text", F.lit(kind).alias("kind"))
-    kept.write.mode("append").partitionBy("kind").parquet(folder)
+    counted = kept.observe(seen, F.count("*").alias("texts"))
+    return write_batch(counted, folder, f"{kind}-{batch}", ["kind"], seen)["texts"]
 
 
 def phrase_documents(phrases: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -81,17 +87,17 @@ def write_jsonld(triples: DataFrame, context: dict[str, str] | DataFrame, path:
     jsonld_nodes(triples, context).write.mode("overwrite").text(path)
 
 
-def sync_missing(files: DataFrame, done: DataFrame, target: str) -> tuple[int, int]:
-    """Append what the target lacks; return how many were there and how many are new.
+def sync_missing(files: DataFrame, done: DataFrame, target: str, batch: str) -> tuple[int, int]:
+    """Write what the target lacks as a batch; return how many were there and how many are new.
 
-    ``files(entity_id, kind, ...)``, ``done(entity_id, kind)``. Both counts are
-    taken while the data passes, not by a second job over it.
+    ``files(entity_id, kind, ...)``, ``done(entity_id, kind)``. Both counts are taken by the one job that
+    writes. A batch that is complete is not written again and gives the counts of its first time.
     """
-    there, new = Observation("there"), Observation("new")
+    seen = Observation("seen")
     known = done.select("entity_id", "kind").distinct()
-    known.observe(there, F.count("*").alias("n")).write.format("noop").mode("overwrite").save()
-    missing = files.join(known, ["entity_id", "kind"], "left_anti")
-    missing.observe(new, F.count("*").alias("n")).write.mode("append").partitionBy(
-        "kind"
-    ).parquet(target)
-    return there.get["n"], new.get["n"]
+    missing = files.join(known, ["entity_id", "kind"], "left_anti").withColumn("_new", F.lit(True))
+    # what is there passes by to be counted; an observation below the join would be lost with an empty side
+    both = missing.unionByName(known.withColumn("_new", F.lit(False)), allowMissingColumns=True)
+    counted = both.observe(seen, F.count_if(~F.col("_new")).alias("there"), F.count_if("_new").alias("new"))
+    counts = write_batch(counted.where("_new").drop("_new"), target, batch, ["kind"], seen)
+    return counts["there"], counts["new"]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import scalars as S
 from corpusloom.operators import corpus, graph, rules, web
 from corpusloom.plans import pipelines
-from corpusloom.sinks import writers
+from corpusloom.sinks import batches, writers
 from corpusloom.sources import readers
 
 CORPUS = {
@@ -107,8 +107,8 @@ def test_scan_does_not_read_content(spark, tmp_path):
 
 def test_texts(spark, rows, tmp_path):
     docs = spark.createDataFrame([("a", "one\ntwo"), ("b", ""), ("c", None)], "doc_id string, text string")
-    writers.write_texts(docs, str(tmp_path / "out"))
-    assert rows(spark.read.parquet(str(tmp_path / "out"))) == [("a", "one\ntwo", "txt")]
+    assert writers.write_texts(docs, str(tmp_path / "out")) == 1
+    assert rows(batches.read_batches(spark, str(tmp_path / "out")).select("doc_id", "text", "kind")) == [("a", "one\ntwo", "txt")]
     (tmp_path / "in").mkdir()
     (tmp_path / "in/p.q.txt").write_text("é\n\nx\n", encoding="utf8")
     assert rows(readers.read_texts(spark, str(tmp_path / "in"))) == [("p.q", "é\n\nx\n")]
@@ -221,16 +221,39 @@ def test_manifest(spark, tmp_path):
     ]
 
 
-def test_sync_missing(spark, tmp_path):
+def test_sync_missing(spark, rows, tmp_path):
     target = str(tmp_path / "target")
     files = spark.createDataFrame(
         [("a", "pdf", "x"), ("b", "pdf", "y"), ("a", "txt", "z")], "entity_id string, kind string, body string"
     )
     done = spark.createDataFrame([("a", "pdf"), ("a", "pdf")], "entity_id string, kind string")
-    assert writers.sync_missing(files, done, target) == (1, 2)
-    stored = spark.read.parquet(target)
-    assert writers.sync_missing(files, stored.unionByName(done, True), target) == (3, 0)
-    assert spark.read.parquet(target).count() == 2
+    assert writers.sync_missing(files, done, target, "1") == (1, 2)
+    stored = batches.read_batches(spark, target).select("entity_id", "kind")
+    assert writers.sync_missing(files, stored.unionByName(done), target, "2") == (3, 0)
+    # a run that is tried again gives its counts and adds nothing
+    assert writers.sync_missing(files, done, target, "1") == (1, 2)
+    assert rows(batches.read_batches(spark, target).select("entity_id", "kind", "body")) == [("a", "txt", "z"), ("b", "pdf", "y")]
+    none = str(tmp_path / "none")
+    assert writers.sync_missing(files, done.limit(0), none, "1") == (0, 3)
+    assert writers.sync_missing(files.limit(0), done, none, "2") == (1, 0)
+    with pytest.raises(ValueError):
+        writers.sync_missing(files, done, none, "../x")
+
+
+def test_a_lost_write_is_not_read_and_is_replaced(spark, rows, tmp_path):
+    """A try that ended before its record left other rows, of another kind too."""
+    folder = str(tmp_path / "out")
+    docs = lambda *ids: spark.createDataFrame([(i, i) for i in ids], "doc_id string, text string")
+    writers.write_texts(docs("a", "b"), folder, batch="1")
+    lost = docs("c", "d").withColumn("kind", F.lit("json"))
+    lost.write.partitionBy("kind").parquet(f"{folder}/batch=b-txt-2")
+    read = lambda: rows(batches.read_batches(spark, folder).select("doc_id", "kind"))
+    assert read() == [("a", "txt"), ("b", "txt")]
+    for _ in range(2):
+        assert writers.write_texts(docs("c"), folder, batch="2") == 1
+        assert read() == [("a", "txt"), ("b", "txt"), ("c", "txt")]
+    writers.write_texts(docs("a"), folder, kind="json", batch="2")
+    assert read() == [("a", "json"), ("a", "txt"), ("b", "txt"), ("c", "txt")]
 
 
 def test_first_keys(spark, rows):
