@@ -423,6 +423,19 @@ ORACLE_BODY = {
                count(*) filter (where r.occ is null) removed, count(*) filter (where l.occ is null) added
         from l full join r on l.conv_id=r.conv_id and l.turn=r.turn and l.line=r.line and l.occ=r.occ
         group by 1,2,3,4""",
+    "line_changes": """with w as (select doc_id, unnest(string_split(replace(text,chr(10),' '),' ')) word,
+              generate_subscripts(string_split(replace(text,chr(10),' '),' '),1) i from documents),
+        l as (select doc_id, i, concat(i,':',word) line, count(*) over (partition by doc_id) n,
+              (i>1 and i%5<>0) or count(*) over (partition by doc_id)=1 stays from w),
+        a as (select *, coalesce(sum(stays::int) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding),0) gap,
+              coalesce(sum((stays and i%7=0 and n>1)::int) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding),0) more,
+              sum(stays::int) over (partition by doc_id) kept, sum((stays and i%7=0 and n>1)::int) over (partition by doc_id) every from l),
+        r as (select doc_id, gap, case when stays then 2 else 0 end kind, i, case when stays then 'kept' else 'removed' end change,
+              i old_no, case when stays then gap+more+1 end new_no, line from a
+          union all select doc_id, gap+1, 1, i, 'added', null, gap+more+2, concat('new ',i) from a where stays and i%7=0 and n>1
+          union all select doc_id, kept, 1, n+1, 'added', null, kept+every+1, line from a where i=1 and n>1)
+        select doc_id, 1 ver, 2 next_ver, cast(row_number() over (partition by doc_id order by gap, kind, i) as int) "no",
+               change, cast(old_no as int) old_no, cast(new_no as int) new_no, line from r""",
     "releases_by_time": "select concat('v',cast(o_orderkey as string)) tag, o_orderdate committed_at from orders",
     "latest_release": """select concat('v',cast(o_orderkey as string)) tag from orders
         order by o_orderdate desc, concat('v',cast(o_orderkey as string)) desc limit 1""",

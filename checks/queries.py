@@ -499,6 +499,12 @@ def version_diff(spark, d):
     return versions.version_diff(V.versions(spark, d))
 
 
+@query
+def line_changes(spark, d):
+    """Line by line what became of every text when its words are lines and the first of them moves to the end."""
+    return versions.line_changes(V.moved_words(spark, d))
+
+
 @query
 def releases_by_time(spark, d):
     return versions.releases_by_time(V.tags(spark, d))

@@ -151,6 +151,23 @@ def versions(spark, sf_dir) -> DataFrame:
     )
 
 
+def moved_words(spark, sf_dir) -> DataFrame:
+    """Two versions of every text, a numbered word a line: the second drops every fifth line, adds one after every
+    seventh that stays, and has the first line at its end."""
+    words = F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ", -1)
+    first = F.transform(words, lambda w, i: F.concat((i + 1).cast("string"), F.lit(":"), w))
+
+    def later(line, i):
+        added = F.array(line, F.concat(F.lit("new "), (i + 1).cast("string")))
+        stays = (i > 0) & ((i + 1) % 5 != 0)
+        return F.when(~stays, F.array().cast("array<string>")).when((i + 1) % 7 == 0, added).otherwise(F.array(line))
+
+    texts = table(spark, sf_dir, "documents").select("doc_id", first.alias("lines"))
+    second = F.concat(F.flatten(F.transform("lines", later)), F.slice("lines", 1, 1))
+    both = [F.struct(F.lit(v).alias("ver"), F.array_join(x, "\n").alias("text")) for v, x in ((1, F.col("lines")), (2, second))]
+    return texts.select("doc_id", F.inline(F.array(*both)))
+
+
 def attempts(spark, sf_dir) -> DataFrame:
     failed = F.col("event_type") == "error"
     return table(spark, sf_dir, "events").select(

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.functions.lines import changes
 from corpusloom.functions.text import split_lines
 from corpusloom.operators.running import next_order, running_total
 
@@ -79,6 +81,41 @@ def version_diff(log: DataFrame, key: str = "doc_id", order: str = "ver") -> Dat
     )
 
 
+def line_changes(log: DataFrame, key: str = "doc_id", order: str = "ver") -> DataFrame:
+    """The ordered difference of consecutive versions, one row a line, numbered by ``no`` from 1.
+
+    ``change`` is ``kept``, ``removed`` or ``added``, with the line's number in either version. A line that
+    moved is removed in one place and added in another. A null text has no lines. Versions of a key
+    are distinct. A pair of texts is one row, which its task compares by itself.
+    """
+    pairs = consecutive_versions(log, key, order)
+    old = log.select(key, order, F.col("text").alias("_old"))
+    new = log.select(key, F.col(order).alias("next_ver"), F.col("text").alias("_new"))
+    both = pairs.join(old, [key, order]).join(new, [key, "next_ver"]).select(key, order, "next_ver", "_old", "_new")
+    kinds = {c: log.schema[c].dataType.simpleString() for c in (key, order)}
+
+    def compare(batches):
+        for batch in batches:
+            for row in batch.itertuples(index=False, name=None):
+                left, right = ([] if x is None else x.split("\n") for x in row[3:])
+                for at in _chunks(changes(left, right)):
+                    head = pd.DataFrame([row[:3]] * len(at), columns=[key, order, "next_ver"])
+                    body = pd.DataFrame([c for _, c in at], columns=["change", "old_no", "new_no", "line"], dtype=object)
+                    yield pd.concat([head, pd.DataFrame({"no": [n for n, _ in at]}), body], axis=1)
+
+    return both.mapInPandas(
+        compare,
+        f"`{key}` {kinds[key]}, `{order}` {kinds[order]}, next_ver {kinds[order]}, no int, change string, old_no int, new_no int, line string",
+    )
+
+
+def _chunks(rows: list, size: int = 1 << 16):
+    """Numbered rows, at most ``size`` at a time."""
+    numbered = list(enumerate(rows, 1))
+    for at in range(0, len(numbered), size):
+        yield numbered[at : at + size]
+
+
 def releases_by_time(tags: DataFrame) -> DataFrame:
     return tags.orderBy("committed_at", "tag")
 
