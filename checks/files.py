@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from checks import views as V
 from checks.queries import query, textrank_docs, worklist
 from corpusloom.operators import corpus as C
-from corpusloom.operators import rules
+from corpusloom.operators import rules, web
 from corpusloom.session import shared_folder
 from corpusloom.sinks import batches, writers
 from corpusloom.sources import readers
@@ -98,6 +98,20 @@ def synced_files(spark, d):
     )
 
 
+@query
+def pdf_heads(spark, d):
+    """Files of many pages each, told by their first bytes."""
+    folder = shared_folder(spark, "heads")
+    bucket = F.col("page_id") % 16
+    value = F.concat(F.when(bucket % 2 == 0, "%PDF-1.4").otherwise(""), "html")
+    pages = V.table(spark, d, "pages").select("page_id", bucket.alias("bucket"), value.alias("value"))
+    in_order = pages.repartition("bucket").sortWithinPartitions("bucket", "page_id")
+    in_order.select("value", "bucket").write.partitionBy("bucket").text(folder)
+    heads = readers.file_heads(readers.scan_files(spark, folder), 5)
+    flags = web.pdf_flags(heads.withColumnRenamed("head", "content"))
+    return flags.select(F.regexp_extract("path", r"bucket=(\d+)/", 1).cast("long").alias("bucket"), "is_pdf")
+
+
 @query
 def extracted_tables(spark, d):
     folder = shared_folder(spark, "tables")

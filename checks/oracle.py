@@ -299,6 +299,7 @@ ORACLE_BODY = {
     "wrapped_tokens": r"""select doc_id,
         '"\"\\'||replace(replace(replace(replace(text,'\','\\'),'"','\"'),chr(10),'\n'),chr(13),'\r')||'"' token,
         concat('<http://t.test/',cast(doc_id as string),'>') iri from documents""",
+    "pdf_heads": "select distinct page_id%16 bucket, page_id%2=0 is_pdf from pages",
     "pdf_flags": "select cast(page_id as string) path, page_id%2=0 is_pdf from pages",
     "iso_dates": "select o_orderkey, strftime(o_orderdate,'%Y-%m-%d') as day from orders",
     "json_documents": "select page_id, url, html body from pages",

@@ -72,6 +72,31 @@ def scan_files(
     return files.unionByName(empty_files(spark, folder, ext), allowMissingColumns=True)
 
 
+def _store_of(uri: str) -> tuple[pafs.FileSystem, str]:
+    return pafs.FileSystem.from_uri(re.sub(r"^file:/+", "/", re.sub(r"^s3[an]:", "s3:", uri)))
+
+
+def file_heads(files: DataFrame, size: int) -> DataFrame:
+    """``(path, head)``: the first ``size`` bytes of each file of a listing; fewer if it is shorter.
+
+    The task that holds a path opens it and reads no more than that, so the work grows with the number of
+    files, not with what they hold. A null path has a null head; a file that cannot be read raises.
+    """
+
+    def head(path: str | None) -> bytes | None:
+        if path is None:
+            return None
+        store, place = _store_of(path)
+        with store.open_input_file(place) as f:
+            return f.read(size)
+
+    def run(batches):
+        for batch in batches:
+            yield pd.DataFrame({"path": batch["path"], "head": [head(p) for p in batch["path"]]})
+
+    return files.select("path").mapInPandas(run, "path string, head binary")
+
+
 def _lister(recursive: bool):
     """Entries below each folder of a batch, for ``mapInPandas``."""
 
@@ -79,8 +104,7 @@ def _lister(recursive: bool):
         for batch in batches:
             for folder in batch["path"]:
                 scheme = folder.split("://")[0] + "://" if "://" in folder else ""
-                plain = re.sub(r"^file:/+", "/", re.sub(r"^s3[an]:", "s3:", folder))
-                store, path = pafs.FileSystem.from_uri(plain)
+                store, path = _store_of(folder)
                 found = store.get_file_info(pafs.FileSelector(path, recursive=recursive))
                 shown = [f for f in found if not f.base_name.startswith(("_", "."))]
                 yield pd.DataFrame(

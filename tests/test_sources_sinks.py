@@ -99,6 +99,21 @@ def test_scan_and_list_keys(spark, rows, tmp_path):
     assert [r["is_pdf"] for r in flags.collect()] == [True]
 
 
+def test_heads_of_files_of_any_size(spark, rows, tmp_path):
+    """A file of 5 GB, which no row could hold, and files with less than a head."""
+    for name, body in (("a b é.pdf", b"%PDF-1.4"), ("p%20q.pdf", b"%PD"), ("large.pdf", b"%PDF-")):
+        (tmp_path / name).write_bytes(body)
+    with open(tmp_path / "large.pdf", "r+b") as f:
+        f.truncate(5 << 30)
+    heads = readers.file_heads(readers.scan_files(spark, str(tmp_path), "pdf", with_empty=True), 5)
+    got = rows(web.pdf_flags(heads.withColumnRenamed("head", "content")))
+    assert [(p.rsplit("/", 1)[1], f) for p, f in got] == [("a b é.pdf", True), ("large.pdf", True), ("p%20q.pdf", False)]
+    missing = spark.createDataFrame([(None,)], "path string")
+    assert rows(readers.file_heads(missing, 5)) == [(None, None)]
+    with pytest.raises(Exception, match="No such file"):
+        readers.file_heads(spark.createDataFrame([(f"file:{tmp_path}/none",)], "path string"), 5).collect()
+
+
 def test_scan_does_not_read_content(spark, tmp_path):
     (tmp_path / "a.pdf").write_bytes(b"x")
     plan = readers.scan_files(spark, str(tmp_path), "pdf")._jdf.queryExecution().toString()
