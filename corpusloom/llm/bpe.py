@@ -50,6 +50,8 @@ LONG_WORD = 128
 BLOCK = 64
 #: Words of the documents that a task looks up at a time; a longer document is looked up alone.
 STRETCH = 1 << 18
+#: Documents whose words are looked up at a time.
+LOOKED_UP = 4096
 #: Documents that are put together and decoded at a time.
 TOGETHER = 256
 
@@ -335,10 +337,14 @@ def stretched(docs: DataFrame, path: str, pattern: str, most: int = WORDS) -> Da
 
     def run(batches):
         table, bounds, ids = sent.value
-        for batch in batches:
+        for batch in (b.slice(a, LOOKED_UP) for b in batches for a in range(0, len(b), LOOKED_UP)):
             lists = batch.column(1)
             inside = lists.flatten().dictionary_encode()
-            known = pc.fill_null(pc.index_in(inside.dictionary, value_set=table), -1).to_numpy(zero_copy_only=False)
+            # the table is sought among the words of the batch, so only these are hashed
+            place = pc.fill_null(pc.index_in(table, value_set=inside.dictionary), -1).to_numpy(zero_copy_only=False)
+            here = np.flatnonzero(place >= 0)
+            known = np.full(len(inside.dictionary), -1, np.int64)
+            known[place[here]] = here
             ends = lists.offsets.to_numpy().astype(np.int64)
             ends = ends - ends[0]
             cuts = np.r_[np.unique(ends[:-1] // STRETCH, return_index=True)[1], len(batch)]
@@ -348,6 +354,8 @@ def stretched(docs: DataFrame, path: str, pattern: str, most: int = WORDS) -> Da
                 found, missing = looked_up(at, ends[a : b + 1] - ends[a], bounds, ids)
                 rest = pa.ListArray.from_arrays(missing, part.dictionary.take(part.indices.filter(pa.array(at < 0))))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), found, rest], ["doc_id", "runs", "missing"])
+            del lists, inside, part, found, rest
+            pa.default_memory_pool().release_unused()
 
     split = texts(docs).select("doc_id", split_words(F.col("text"), pattern).alias("words"))
     found = split.mapInArrow(run, "doc_id long, runs array<array<int>>, missing array<string>")
