@@ -127,9 +127,10 @@ def extracted_tables(spark, d):
 def incremental_phrases(spark, d):
     """The documents as a stream of files; a second run finds nothing new."""
     folder = shared_folder(spark, "incremental")
+    source = f"{d}/documents.parque[t]"  # a file or a folder of files of any name; as a plain path it has to be a folder
     schema = V.table(spark, d, "documents").schema
     process = incremental.phrase_writer(f"{folder}/phrases")
     for _ in range(2):
-        stream = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(d)
+        stream = spark.readStream.schema(schema).parquet(source)
         incremental.run_new(stream, f"{folder}/seen", process).awaitTermination()
     return spark.read.parquet(f"{folder}/phrases").drop("batch")
