@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.functions import words
-from corpusloom.functions.arrays import group_starts, let, long_sum, per_group, positions
-from corpusloom.session import checkpointed, spread
+from corpusloom.functions.arrays import let
+from corpusloom.functions.ranks import DAMPING_PERCENT, UNITS, chunks, ranked_phrases
+from corpusloom.session import checkpointed, dealt
 
-#: Ranks are whole units of 1e-12, so that sums do not depend on their order.
-UNITS = 10**12
-DAMPING_PERCENT = 85
 REACH = 3
 
 
@@ -25,141 +25,12 @@ def _div(a: Column, b: Column) -> Column:
     return F.call_function("div", a, b)
 
 
-def _occurrences(kept: Column) -> Column:
-    """Positions of every distinct word, words in alphabetical order."""
-    by_word = F.sort_array(F.transform(kept, lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
-    return let(
-        by_word,
-        lambda s: per_group(
-            group_starts(s, lambda x, y: x["w"] == y["w"]),
-            F.size(s),
-            lambda at, length, k: F.transform(F.slice(s, at + 1, length), lambda x: x["i"]),
-        ),
-    )
-
-
-def _word_ids(occurrences: Column) -> Column:
-    """Number of the word at each position."""
-    placed = F.transform(
-        occurrences,
-        lambda ps, k: F.transform(
-            ps, lambda p: F.shiftleft(p.cast("long"), 32) + k.cast("long")
-        ),
-    )
-    return F.transform(
-        F.sort_array(F.flatten(placed)), lambda x: x.bitwiseAND(_long(0xFFFFFFFF)).cast("int")
-    )
-
-
-def _neighbours(occurrences: Column, ids: Column, reach: int) -> Column:
-    """Adjacency lists of the word graph, indexed by word number."""
-
-    def around(p: Column) -> Column:
-        first = F.greatest(p - reach, F.lit(0))
-        return F.slice(ids, first + 1, p - first + reach + 1)
-
-    return F.transform(
-        occurrences,
-        lambda ps, k: F.array_remove(F.array_distinct(F.flatten(F.transform(ps, around))), k),
-    )
-
-
-def _ranks(adj: Column, rounds: int) -> Column:
-    """Rank units per word number after the given number of rounds."""
-    n = F.size(adj).cast("long")
-    base = _div(_long(UNITS // 100 * (100 - DAMPING_PERCENT)), n)
-
-    def rank(share: Column, nb: Column) -> Column:
-        total = F.aggregate(nb, _long(0), lambda acc, j: acc + F.get(share, j))
-        return base + _div(total * DAMPING_PERCENT, _long(100))
-
-    share = F.transform(adj, lambda nb: _div(_div(_long(UNITS), n), F.size(nb).cast("long")))
-    if rounds > 1:
-        share = F.aggregate(
-            F.sequence(F.lit(2), F.lit(rounds)),
-            share,
-            lambda acc, _: F.transform(
-                adj, lambda nb: _div(rank(acc, nb), F.size(nb).cast("long"))
-            ),
-        )
-    return let(share, lambda s: F.transform(adj, lambda nb: rank(s, nb)))
-
-
-def _scored_phrases(toks: Column, rounds: int, reach: int) -> Column:
-    """``array<struct<neg, phrase, cnt>>`` in rank order for one token array."""
-    marked = F.filter(
-        F.transform(
-            toks,
-            lambda t, i: F.struct(
-                t.alias("w"),
-                ((i == 0) | (F.get(toks, i - 1) == words.BREAK)).alias("head"),
-            ),
-        ),
-        lambda x: x["w"] != words.BREAK,
-    )
-
-    def from_marked(m: Column) -> Column:
-        kept = F.transform(m, lambda x: x["w"])
-        heads = F.filter(positions(m), lambda i: F.get(m, i)["head"])
-        return let(
-            kept,
-            lambda w: let(
-                _occurrences(w),
-                lambda occ: let(_word_ids(occ), lambda ids: from_ids(w, occ, ids, heads)),
-            ),
-        )
-
-    def from_ids(w: Column, occ: Column, ids: Column, heads: Column) -> Column:
-        # A single distinct word has no neighbour to share with.
-        single = F.array(_long(UNITS // 100 * (100 - DAMPING_PERCENT)))
-        ranks = F.when(F.size(occ) == 1, single).otherwise(
-            let(_neighbours(occ, ids, reach), lambda adj: _ranks(adj, rounds))
-        )
-        return let(
-            ranks,
-            lambda r: let(
-                F.transform(ids, lambda j: F.get(r, j)),
-                lambda at_pos: from_ranks(w, at_pos, heads),
-            ),
-        )
-
-    def from_ranks(w: Column, at_pos: Column, heads: Column) -> Column:
-        runs = F.sort_array(
-            per_group(
-                heads,
-                F.size(w),
-                lambda s, length, k: F.struct(
-                    F.array_join(F.slice(w, s + 1, length), " ").alias("phrase"),
-                    _div(long_sum(F.slice(at_pos, s + 1, length)), length.cast("long")).alias(
-                        "units"
-                    ),
-                ),
-            )
-        )
-        return let(
-            runs,
-            lambda p: F.sort_array(
-                per_group(
-                    group_starts(p, lambda x, y: x["phrase"] == y["phrase"]),
-                    F.size(p),
-                    lambda s, length, k: F.struct(
-                        (-F.get(p, s)["units"]).alias("neg"),
-                        F.get(p, s)["phrase"].alias("phrase"),
-                        length.cast("long").alias("cnt"),
-                    ),
-                )
-            ),
-        )
-
-    return let(marked, from_marked)
-
-
 def default_tokenizer(keys: list[str]) -> Callable[[DataFrame], DataFrame]:
     """Text stage: ``(keys, text[, lang])`` to ``(keys, toks)``."""
 
     def run(docs: DataFrame) -> DataFrame:
         lang = F.col("lang") if "lang" in docs.columns else None
-        return spread(docs).select(*keys, words.tokens(F.col("text"), lang).alias("toks"))
+        return dealt(docs).select(*keys, words.tokens(F.col("text"), lang).alias("toks"))
 
     return run
 
@@ -225,21 +96,25 @@ def _finish(df: DataFrame, keys: list[str]) -> DataFrame:
 def textrank_in_rows(
     toks: DataFrame, keys: list[str], k: int | None, rounds: int = 20, reach: int = REACH
 ) -> DataFrame:
-    """Rank every document inside its own row: no shuffle, whatever the corpus size."""
-    best = _scored_phrases(F.col("toks"), rounds, reach)
-    if k is not None:
-        best = F.slice(best, 1, k)
-    found = toks.select(*keys, F.posexplode(best).alias("_at", "_p"))
-    return _finish(
-        found.select(
-            *keys,
-            (F.col("_at") + 1).alias("rk"),
-            F.col("_p.phrase").alias("phrase"),
-            F.col("_p.cnt").alias("cnt"),
-            (-F.col("_p.neg")).alias("units"),
-        ),
-        keys,
-    )
+    """Rank every document inside its task: no shuffle, whatever the corpus size.
+
+    The word graphs of some documents at a time are arrays of numbers.
+    """
+    toks = toks.select(*keys, "toks")
+    found = ["rk int", "phrase string", "cnt long", "units long"]
+    schema = T.StructType([*toks.schema.fields[:-1], *T.StructType.fromDDL(", ".join(found)).fields])
+
+    def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, length in chunks(batch.column("toks")):
+                part = batch.slice(at, length)
+                doc, rk, phrase, cnt, units = ranked_phrases(part.column("toks"), words.BREAK, k, rounds, reach)
+                own = [part.column(i).take(pa.array(doc)) for i in range(len(keys))]
+                yield pa.RecordBatch.from_arrays(
+                    [*own, pa.array(rk, pa.int32()), phrase, pa.array(cnt), pa.array(units)], schema.names
+                )
+
+    return _finish(toks.mapInArrow(rank, schema), keys)
 
 
 def textrank_by_rounds(

@@ -77,3 +77,20 @@ def spread(df: DataFrame) -> DataFrame:
     cores = spark.sparkContext.defaultParallelism
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return df.repartition(4 * cores) if size <= cores * SMALL_PER_CORE else df
+
+
+#: Bytes of input files whose rows make one task of work inside rows.
+PER_TASK = 16 << 20
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """Deal rows out to tasks of about ``PER_TASK`` bytes of input, at least four a core.
+
+    Files may have few and large row groups, and work inside rows takes much longer than a shuffle of them.
+    The sizes of the tables that ``df`` reads decide; if Spark does not know them, rows stay where they are.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    spark = df.sparkSession
+    tasks = max(4 * spark.sparkContext.defaultParallelism, size // PER_TASK)
+    return df.repartition(tasks) if size < 1 << 50 else df
