@@ -7,6 +7,9 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
+#: A call gets at most this many documents.
+PER_CALL = 512
+
 
 def map_documents(
     docs: DataFrame,
@@ -14,7 +17,7 @@ def map_documents(
     schema: str,
     set_up: Callable[[], object] | None = None,
 ) -> DataFrame:
-    """Apply ``fn`` to Arrow batches of documents.
+    """Apply ``fn`` to batches of at most ``PER_CALL`` documents, so that what it makes of them stays small.
 
     ``set_up`` runs once per partition (to load a model, say); its result is
     handed to ``fn`` as a second argument.
@@ -23,6 +26,8 @@ def map_documents(
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         state = None if set_up is None else set_up()
         for batch in batches:
-            yield fn(batch) if set_up is None else fn(batch, state)
+            for at in range(0, len(batch), PER_CALL):
+                part = batch.iloc[at : at + PER_CALL].reset_index(drop=True)
+                yield fn(part) if set_up is None else fn(part, state)
 
     return docs.mapInPandas(run, schema)
