@@ -88,7 +88,7 @@ def _walked(roots: Column, levels: Column, types: tuple[str, ...], spell_out: bo
         )
 
     start = let(roots, lambda r: F.struct(finished(r).alias("done"), r.alias("frontier")))
-    return F.aggregate(F.sequence(F.lit(0), levels), start, step, lambda state: F.array_sort(state["done"]))
+    return F.aggregate(F.sequence(F.lit(0), levels), start, step, lambda state: F.sort_array(state["done"]))
 
 
 def element_text(
@@ -130,29 +130,6 @@ def elements(doc: Column, paged: bool = False) -> Column:
     )
 
 
-def nodes(doc: Column, paged: bool = False) -> Column:
-    """Every node of a document: ``array<struct<path, type, text>>`` in tree order.
-
-    ``path`` is page position, element position, then child positions; ``text``
-    is the node's own text, null for inner nodes.
-    """
-    roots = F.flatten(
-        F.transform(
-            pages(doc, paged),
-            lambda page, p: F.transform(
-                F.coalesce(
-                    F.try_variant_get(page, "$.elements", "array<variant>"),
-                    F.array().cast("array<variant>"),
-                ),
-                lambda n, i: _walk(n, SECTION_TYPES, F.array(p, i)),
-            ),
-        )
-    )
-    typed = F.filter(roots, lambda s: s["type"].isNotNull())
-    walked = _walked(typed, _most_levels(pages(doc, paged)), SECTION_TYPES)
-    return F.filter(walked, lambda s: s["type"].isNotNull())
-
-
 def sections(doc: Column, paged: bool = False) -> Column:
     """``array<struct<sec_no, title, text>>`` of one document.
 

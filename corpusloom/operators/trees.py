@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.functions import trees as V
+from corpusloom.functions.nodes import walk
 from corpusloom.operators.running import running_total
 
+#: Elements whose nodes are held at a time.
+PER_BATCH = 512
+
 
 def _paged(docs: DataFrame) -> bool:
     """Whether ``doc`` is a list of pages, as the reader gives it, and not one VARIANT."""
@@ -16,8 +23,34 @@ def _paged(docs: DataFrame) -> bool:
 
 
 def flatten_tree(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``node(key, path, type, text)`` for trees ``(key, doc VARIANT)``."""
-    return docs.select(key, F.inline(V.nodes(F.col("doc"), _paged(docs))))
+    """``node(key, path, type, text)`` for trees ``(key, doc VARIANT)``.
+
+    A row holds one element of a page, so a task has the nodes of one batch of elements at a time, not of documents.
+    """
+    elements = F.try_variant_get("page", "$.elements", "array<variant>")
+    paged = docs.select(key, F.posexplode(V.pages(F.col("doc"), _paged(docs))).alias("page_pos", "page"))
+    rows = paged.select(key, "page_pos", F.posexplode(elements).alias("elem_pos", "node")).select(
+        key, "page_pos", "elem_pos", F.to_json(F.struct("node")).alias("json")
+    )
+    found = T.StructType.fromDDL("path array<int>, type string, text string")
+    schema = T.StructType([docs.schema[key], *found.fields])
+    inner = frozenset(V.SECTION_TYPES) - {"character"}
+
+    def nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, PER_BATCH):
+                part = batch.slice(at, PER_BATCH)
+                row, path, kind, text = [], [], [], []
+                for i, (page, elem, tree) in enumerate(zip(*(part.column(c).to_pylist() for c in (1, 2, 3)))):
+                    for below, k, t in walk(tree, inner):
+                        row.append(i)
+                        path.append([page, elem, *below])
+                        kind.append(k)
+                        text.append(t)
+                columns = [part.column(0).take(pa.array(row, pa.int32())), pa.array(path, pa.list_(pa.int32()))]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(kind, pa.string()), pa.array(text, pa.string())], schema.names)
+
+    return rows.mapInArrow(nodes, schema)
 
 
 def tree_sections(docs: DataFrame, key: str = "doc_id") -> DataFrame:
