@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.functions.arrays import let
-from corpusloom.session import spread
+from corpusloom.session import dealt
 
 VOCAB = "http://vocab.test/Vocabulary#"
 CONTEXT = {
@@ -162,10 +162,12 @@ def moved_words(spark, sf_dir) -> DataFrame:
         stays = (i > 0) & ((i + 1) % 5 != 0)
         return F.when(~stays, F.array().cast("array<string>")).when((i + 1) % 7 == 0, added).otherwise(F.array(line))
 
-    texts = table(spark, sf_dir, "documents").select("doc_id", first.alias("lines"))
+    texts = dealt(table(spark, sf_dir, "documents")).select("doc_id", first.alias("lines"))
+    # Rows before texts: who asks for the versions alone makes no text.
+    both = texts.select("doc_id", "lines", F.explode(F.array(F.lit(1), F.lit(2))).alias("ver"))
     second = F.concat(F.flatten(F.transform("lines", later)), F.slice("lines", 1, 1))
-    both = [F.struct(F.lit(v).alias("ver"), F.array_join(x, "\n").alias("text")) for v, x in ((1, F.col("lines")), (2, second))]
-    return texts.select("doc_id", F.inline(F.array(*both)))
+    text = F.when(F.col("ver") == 1, F.array_join("lines", "\n")).otherwise(F.array_join(second, "\n"))
+    return both.select("doc_id", "ver", text.alias("text"))
 
 
 def attempts(spark, sf_dir) -> DataFrame:
@@ -300,7 +302,7 @@ def trees(spark, sf_dir) -> DataFrame:
         pages = _listed(F.transform(numbers, lambda p: one_page(items, p)))
         return F.parse_json(F.concat(F.lit('{"pages":'), pages, F.lit("}")))
 
-    return spread(table(spark, sf_dir, "pages")).select(
+    return dealt(table(spark, sf_dir, "pages")).select(
         F.col("page_id").alias("doc_id"),
         let(F.transform(_items(), element), whole).alias("doc"),
     )

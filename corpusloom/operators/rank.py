@@ -46,13 +46,15 @@ def candidate_phrases(
 
 
 def phrase_counts(candidates: DataFrame, keys: list[str] = ["doc_id"]) -> DataFrame:
-    return candidates.groupBy(*keys, "phrase").agg(F.count("*").alias("cnt"))
+    """Nearly all phrases of a document are there once, so they are counted after they are dealt out."""
+    return dealt(candidates, *keys, "phrase").groupBy(*keys, "phrase").agg(F.count("*").alias("cnt"))
 
 
 def unique_phrases(phrases: DataFrame, keys: list[str] = ["doc_id"]) -> DataFrame:
     """The same text keeps its first place and its last value."""
     return (
-        phrases.groupBy(*keys, "phrase")
+        dealt(phrases, *keys, "phrase")
+        .groupBy(*keys, "phrase")
         .agg(F.min("rk").alias("rk"), F.max_by(F.struct("cnt", "rank_score"), "rk").alias("_v"))
         .select(*keys, "rk", "phrase", "_v.cnt", "_v.rank_score")
     )

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.lines import changes
 from corpusloom.functions.text import split_lines
 from corpusloom.operators.running import next_order, running_total
+from corpusloom.session import dealt
+
+#: Changes of lines that leave a task at a time.
+PER_BATCH = 1 << 16
 
 
 def version_history(log: DataFrame, key: str = "doc_id", order: str = "ver") -> DataFrame:
@@ -92,28 +97,39 @@ def line_changes(log: DataFrame, key: str = "doc_id", order: str = "ver") -> Dat
     old = log.select(key, order, F.col("text").alias("_old"))
     new = log.select(key, F.col(order).alias("next_ver"), F.col("text").alias("_new"))
     both = pairs.join(old, [key, order]).join(new, [key, "next_ver"]).select(key, order, "next_ver", "_old", "_new")
+    both = dealt(both)  # comparing takes longer than a shuffle of the texts
     kinds = {c: log.schema[c].dataType.simpleString() for c in (key, order)}
 
     def compare(batches):
         for batch in batches:
-            for row in batch.itertuples(index=False, name=None):
-                left, right = ([] if x is None else x.split("\n") for x in row[3:])
-                for at in _chunks(changes(left, right)):
-                    head = pd.DataFrame([row[:3]] * len(at), columns=[key, order, "next_ver"])
-                    body = pd.DataFrame([c for _, c in at], columns=["change", "old_no", "new_no", "line"], dtype=object)
-                    yield pd.concat([head, pd.DataFrame({"no": [n for n, _ in at]}), body], axis=1)
-
-    return both.mapInPandas(
+            at, found = [], []
+            for i, (left, right) in enumerate(zip(batch.column("_old").to_pylist(), batch.column("_new").to_pylist())):
+                rows = changes(*([] if x is None else x.split("\n") for x in (left, right)))
+                for first in range(0, len(rows), PER_BATCH):
+                    part = rows[first : first + PER_BATCH]
+                    at.append((i, first, len(part)))
+                    found += part
+                    if len(found) >= PER_BATCH:
+                        yield _numbered(batch, at, found)
+                        at, found = [], []
+            if found:
+                yield _numbered(batch, at, found)
+
+    return both.mapInArrow(
         compare,
         f"`{key}` {kinds[key]}, `{order}` {kinds[order]}, next_ver {kinds[order]}, no int, change string, old_no int, new_no int, line string",
     )
 
 
-def _chunks(rows: list, size: int = 1 << 16):
-    """Numbered rows, at most ``size`` at a time."""
-    numbered = list(enumerate(rows, 1))
-    for at in range(0, len(numbered), size):
-        yield numbered[at : at + size]
+def _numbered(batch: pa.RecordBatch, at: list[tuple[int, int, int]], found: list[tuple]) -> pa.RecordBatch:
+    """Changes with the keys of their pair, and with their numbers in it."""
+    pair, first, length = np.array(at).T
+    rows = pa.array(np.repeat(pair, length))
+    no = np.arange(len(found)) + np.repeat(first + 1 - (np.cumsum(length) - length), length)
+    change, old_no, new_no, line = zip(*found)
+    body = [pa.array(change, pa.string()), pa.array(old_no, pa.int32()), pa.array(new_no, pa.int32()), pa.array(line, pa.string())]
+    names = [*batch.schema.names[:3], "no", "change", "old_no", "new_no", "line"]
+    return pa.RecordBatch.from_arrays([*(batch.column(c).take(rows) for c in range(3)), pa.array(no, pa.int32()), *body], names)
 
 
 def releases_by_time(tags: DataFrame) -> DataFrame:

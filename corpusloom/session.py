@@ -83,14 +83,16 @@ def spread(df: DataFrame) -> DataFrame:
 PER_TASK = 16 << 20
 
 
-def dealt(df: DataFrame) -> DataFrame:
-    """Deal rows out to tasks of about ``PER_TASK`` bytes of input, at least four a core.
+def dealt(df: DataFrame, *by: str) -> DataFrame:
+    """Deal rows out, by the columns ``by`` if there are any, to tasks of about ``PER_TASK`` bytes of input,
+    at least four a core.
 
     Files may have few and large row groups, and work inside rows takes much longer than a shuffle of them.
-    The sizes of the tables that ``df`` reads decide; if Spark does not know them, rows stay where they are.
+    The sizes of the tables that ``df`` reads decide; if Spark knows none of them, rows stay where they are.
     """
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    spark = df.sparkSession
-    tasks = max(4 * spark.sparkContext.defaultParallelism, size // PER_TASK)
-    return df.repartition(tasks) if size < 1 << 50 else df
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    known = [size for size in sizes if size < 1 << 50]  # rows from the driver or of a stream have no size
+    if not known:
+        return df
+    return df.repartition(max(4 * df.sparkSession.sparkContext.defaultParallelism, sum(known) // PER_TASK), *by)
