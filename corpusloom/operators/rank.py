@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.functions import words
 from corpusloom.functions.arrays import let
-from corpusloom.functions.ranks import DAMPING_PERCENT, UNITS, chunks, ranked_phrases
-from corpusloom.session import checkpointed, dealt
+from corpusloom.functions.ranks import DAMPING_PERCENT, UNITS, chunks, phrases_by_ranks, ranked_phrases, word_blocks
+from corpusloom.session import checkpointed, dealt, tasks_for, written
 
 REACH = 3
 
@@ -119,6 +120,69 @@ def textrank_in_rows(
     return _finish(toks.mapInArrow(rank, schema), keys)
 
 
+def _ranked_or_left(
+    toks: DataFrame, keys: list[str], k: int | None, rounds: int, reach: int, most: int
+) -> DataFrame:
+    """Ranked phrases of the documents that are one text of at most ``most`` tokens, and the tokens of all others."""
+    texts = toks.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
+    repeated = written(texts.select(*keys, F.lit(True).alias("repeated")), "repeated")
+    # By size, as the table of repeated keys has no row as a rule.
+    flagged = toks.select(*keys, "toks").join(repeated, keys, "left")
+    left = F.coalesce("repeated", F.lit(False)) | (F.size("toks") > most)
+    flagged = flagged.select(*keys, "toks", left.alias("left"))
+    found = T.StructType.fromDDL("toks array<string>, rk int, phrase string, cnt long, units long")
+    schema = T.StructType([*flagged.schema.fields[:-2], *found.fields])
+
+    def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rest = batch.filter(batch.column("left"))
+            if rest.num_rows:
+                none = [pa.nulls(rest.num_rows, t) for t in (pa.int32(), pa.string(), pa.int64(), pa.int64())]
+                toks_ = rest.column("toks").cast(pa.list_(pa.string()))
+                yield pa.RecordBatch.from_arrays([*rest.columns[: len(keys)], toks_, *none], schema.names)
+            batch = batch.filter(pc.invert(batch.column("left")))
+            for at, length in chunks(batch.column("toks")):
+                part = batch.slice(at, length)
+                doc, rk, phrase, cnt, units = ranked_phrases(part.column("toks"), words.BREAK, k, rounds, reach)
+                own = [part.column(i).take(pa.array(doc)) for i in range(len(keys))]
+                rows = [pa.array(rk, pa.int32()), phrase, pa.array(cnt), pa.array(units)]
+                yield pa.RecordBatch.from_arrays([*own, pa.nulls(len(doc), pa.list_(pa.string())), *rows], schema.names)
+
+    return written(flagged.mapInArrow(rank, schema), "ranked")
+
+
+def _word_blocks(parts: DataFrame, keys: list[str], reach: int, most: int) -> DataFrame:
+    """``(keys, block, n, links, out)``, see ``ranks.word_blocks``."""
+    found = "block int, n long, links array<array<int>>, out array<struct<to int, words array<int>>>"
+    schema = T.StructType([*parts.schema.fields[: len(keys)], *T.StructType.fromDDL(found).fields])
+    types = pa.list_(pa.list_(pa.int32())), pa.list_(pa.struct({"to": pa.int32(), "words": pa.list_(pa.int32())}))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, texts in enumerate(batch.column("parts")):
+                for block, n, links, out in word_blocks(texts.values, words.BREAK, reach, most):
+                    own = [batch.column(i).slice(row, 1) for i in range(len(keys))]
+                    rows = [pa.array([block], pa.int32()), pa.array([n]), *map(pa.array, ([links], [out]), types)]
+                    yield pa.RecordBatch.from_arrays([*own, *rows], schema.names)
+
+    return parts.mapInArrow(cut, schema)
+
+
+def _phrases_by_ranks(ranked: DataFrame, keys: list[str], k: int | None) -> DataFrame:
+    found = T.StructType.fromDDL("rk int, phrase string, cnt long, units long")
+    schema = T.StructType([*ranked.schema.fields[: len(keys)], *found.fields])
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, (texts, ranks) in enumerate(zip(batch.column("parts"), batch.column("ranks"))):
+                rk, phrase, cnt, units = phrases_by_ranks(texts.values, words.BREAK, ranks.values.to_numpy(), k)
+                own = [batch.column(i).take(pa.array([row] * len(rk), pa.int32())) for i in range(len(keys))]
+                rows = [pa.array(rk, pa.int32()), phrase, pa.array(cnt), pa.array(units)]
+                yield pa.RecordBatch.from_arrays([*own, *rows], schema.names)
+
+    return ranked.mapInArrow(score, schema)
+
+
 def textrank_by_rounds(
     toks: DataFrame,
     keys: list[str],
@@ -126,71 +190,56 @@ def textrank_by_rounds(
     rounds: int = 20,
     reach: int = REACH,
     cut_every: int = 5,
+    most: int = 1 << 12,
 ) -> DataFrame:
-    """The same ranks by joins on (document, word), for documents of any size.
+    """The same ranks by joins on (document, block of words), for documents of any size; no row without all its keys.
 
-    Edges are written once, spread by the word they lead to; the lineage of the
-    ranks is cut every ``cut_every`` rounds.
+    Up to ``most`` tokens are one block, whose rounds need nothing from elsewhere, so they run inside a task. A longer
+    document, or one of several rows, is cut into blocks of ``most`` words, as they first occur. In every round a block
+    sends each block the shares of the words that the two have links with, and only these are shuffled;
+    their lineage is cut every ``cut_every`` rounds.
     """
-    kept = F.filter("toks", lambda t: t != words.BREAK)
-    near = F.col("near")
-    steps = toks.select(*keys, kept.alias("w")).select(
-        *keys,
-        F.inline(
-            let(
-                F.col("w"),
-                lambda w: F.transform(
-                    w,
-                    lambda a, i: F.struct(
-                        a.alias("a"), F.slice(w, i + 2, reach).alias("near")
-                    ),
-                ),
-            )
-        ),
-    )
-    ends = steps.select(*keys, "a", F.explode_outer(near).alias("b"))
-    both = F.array(
-        F.struct(F.col("a").alias("a"), F.col("b").alias("b")),
-        F.struct(F.col("b").alias("a"), F.col("a").alias("b")),
-    )
-    links = ends.where("a <> b").select(*keys, F.inline(both)).distinct()
-    edges = checkpointed(links.repartition(*keys, "b"))
-
-    vocabulary = steps.select(*keys, "a").distinct()
-    degrees = edges.groupBy(*keys, "a").agg(F.count("*").alias("deg"))
-    sizes = vocabulary.groupBy(*keys).agg(F.count("*").alias("n"))
-    whole = _long(UNITS // 100 * (100 - DAMPING_PERCENT))
-    nodes = checkpointed(
-        vocabulary.join(degrees, [*keys, "a"], "left")
-        .join(sizes, keys)
-        .select(*keys, "a", "deg", _div(whole, F.col("n")).alias("base"),
-                _div(_long(UNITS), F.col("n")).alias("start"))
-    )
+    for key in keys:
+        toks = toks.where(F.col(key).isNotNull())
+    found = _ranked_or_left(toks, keys, k, rounds, reach, most if rounds > 0 else -1)
+    in_tasks = found.where("phrase is not null").select(*keys, "rk", "phrase", "cnt", "units")
+    parts = found.where("toks is not null").groupBy(*keys).agg(F.collect_list("toks").alias("parts"))
+    blocks = written(_word_blocks(parts, keys, reach, most), "blocks")
+    tasks, at = tasks_for(blocks), [*keys, "block"]
+    blocks = blocks.repartition(tasks, *at)
+
+    def sent(ranked: DataFrame) -> DataFrame:
+        """Shares that a block gets, in the order of the blocks that send them."""
+        shares = lambda r: F.transform(
+            "out",
+            lambda o: F.struct(
+                o["to"].alias("to"),
+                F.transform(o["words"], lambda w: _div(F.get(r, w), F.size(F.get("links", w)).cast("long"))).alias("shares"),
+            ),
+        )
+        mail = ranked.select(*keys, F.col("block").alias("from"), F.inline(let(F.col("ranks"), shares)))
+        mail = mail.withColumnRenamed("to", "block").repartition(tasks, *at)
+        return mail.groupBy(*at).agg(F.sort_array(F.collect_list(F.struct("from", "shares"))).alias("mail"))
 
-    ranks = nodes.select(*keys, "a", "deg", "base", F.col("start").alias("r"))
+    base = _div(_long(UNITS // 100 * (100 - DAMPING_PERCENT)), F.col("n"))
+    start = F.transform("links", lambda _: _div(_long(UNITS), F.col("n")))
+    ranked = blocks.withColumn("ranks", start)
     for done in range(1, rounds + 1):
-        shares = ranks.where("deg is not null").select(
-            *keys, F.col("a").alias("b"), _div(F.col("r"), F.col("deg")).alias("share")
-        )
-        sums = edges.join(shares, [*keys, "b"]).groupBy(*keys, "a").agg(F.sum("share").alias("s"))
-        gained = _div(F.coalesce("s", _long(0)) * DAMPING_PERCENT, _long(100))
-        ranks = nodes.join(sums, [*keys, "a"], "left").select(
-            *keys, "a", "deg", "base", (F.col("base") + gained).alias("r")
+        mail = sent(ranked)
+        if done % cut_every == 0:
+            mail = checkpointed(mail)
+        gained = lambda got: F.transform(
+            "links",
+            lambda near: base
+            + _div(F.aggregate(near, _long(0), lambda s, i: s + F.get(got, i)) * DAMPING_PERCENT, _long(100)),
         )
-        if done % cut_every == 0 or done == rounds:
-            ranks = checkpointed(ranks)
-
-    counts = toks.select(*keys, F.explode(words.phrases(F.col("toks"))).alias("phrase"))
-    counts = phrase_counts(counts, keys)
-    parts = counts.select(*keys, "phrase", "cnt", F.explode(F.split("phrase", " ")).alias("a"))
-    scored = (
-        parts.join(ranks.select(*keys, "a", "r"), [*keys, "a"])
-        .groupBy(*keys, "phrase")
-        .agg(F.first("cnt").alias("cnt"), _div(F.sum("r"), F.count("*")).alias("units"))
-    )
-    if k is None:
-        return _finish(rank_phrases(scored, keys, "units"), keys)
-    return _finish(top_phrases(scored, k, keys, "units"), keys)
+        got = F.flatten(F.transform("mail", lambda m: m["shares"]))
+        ranked = blocks.join(mail, at, "left").withColumn("ranks", let(got, gained)).drop("mail")
+
+    ranks = ranked.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("block", "ranks"))).alias("ranks"))
+    ranks = ranks.select(*keys, F.flatten(F.transform("ranks", lambda b: b["ranks"])).alias("ranks"))
+    by_rounds = _phrases_by_ranks(parts.join(ranks, keys).select(*keys, "parts", "ranks"), keys, k)
+    return _finish(in_tasks.unionByName(by_rounds), keys)
 
 
 def textrank(

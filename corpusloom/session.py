@@ -62,6 +62,13 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{_checkpoint_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` as a compressed table in the shared checkpoint folder and read on from there."""
+    folder = shared_folder(df.sparkSession, purpose)
+    df.write.option("compression", "zstd").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 #: Inputs up to this size per core may be spread by a shuffle.
 SMALL_PER_CORE = 64 << 20
 
@@ -83,6 +90,14 @@ def spread(df: DataFrame) -> DataFrame:
 PER_TASK = 16 << 20
 
 
+def tasks_for(df: DataFrame) -> int | None:
+    """Tasks of about ``PER_TASK`` bytes of the tables that ``df`` reads, at least four a core; None if Spark knows no size."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    known = [size for size in sizes if size < 1 << 50]  # rows from the driver or of a stream have no size
+    return max(4 * df.sparkSession.sparkContext.defaultParallelism, sum(known) // PER_TASK) if known else None
+
+
 def dealt(df: DataFrame, *by: str) -> DataFrame:
     """Deal rows out, by the columns ``by`` if there are any, to tasks of about ``PER_TASK`` bytes of input,
     at least four a core.
@@ -90,9 +105,5 @@ def dealt(df: DataFrame, *by: str) -> DataFrame:
     Files may have few and large row groups, and work inside rows takes much longer than a shuffle of them.
     The sizes of the tables that ``df`` reads decide; if Spark knows none of them, rows stay where they are.
     """
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
-    known = [size for size in sizes if size < 1 << 50]  # rows from the driver or of a stream have no size
-    if not known:
-        return df
-    return df.repartition(max(4 * df.sparkSession.sparkContext.defaultParallelism, sum(known) // PER_TASK), *by)
+    tasks = tasks_for(df)
+    return df.repartition(tasks, *by) if tasks else df
