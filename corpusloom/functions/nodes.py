@@ -36,3 +36,8 @@ def walk(text: str, inner: frozenset[str]) -> Iterator[tuple[list[int], str | No
         yield path, kind, own
         if type(content) is list and kind in inner:
             open_ += [([*path, i], content[i]) for i in range(len(content) - 1, -1, -1)]
+
+
+def leaves(text: str, inner: frozenset[str]) -> str:
+    """Leaf text of the element in tree order."""
+    return "".join(own for _, _, own in walk(text, inner) if own)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.functions import trees as V
-from corpusloom.functions.nodes import walk
+from corpusloom.functions.nodes import leaves, walk
 from corpusloom.operators.running import running_total
 
 #: Elements whose nodes are held at a time.
@@ -53,32 +53,124 @@ def flatten_tree(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     return rows.mapInArrow(nodes, schema)
 
 
+def _element_rows(docs: DataFrame, key: str, types: tuple[str, ...] | None = None, outer: bool = False) -> DataFrame:
+    """A row for every typed element: its document's key and a number of its row, and the JSON of its tree.
+
+    Rows of a document follow each other in order. Elements of other types than ``types`` have no JSON; with
+    ``outer`` a document without elements has a row too, where ``known`` says whether it has pages.
+    """
+    listed = docs.select(key, F.monotonically_increasing_id().alias("row"), V.elements(F.col("doc"), _paged(docs)).alias("list"))
+    listed = listed.withColumn("known", F.col("list").isNotNull())
+    explode = F.posexplode_outer if outer else F.posexplode
+    rows = listed.select(key, "row", "known", explode("list").alias("elem_no", "e"))
+    json = F.to_json(F.struct(F.col("e.node").alias("node")))
+    wanted = F.col("e.type").isNotNull() if types is None else F.col("e.type").isin(*types)
+    return rows.select(key, "row", "known", "e.page_no", "elem_no", "e.type", F.when(wanted, json).alias("json"))
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, PER_BATCH):
+            yield batch.slice(at, PER_BATCH)
+
+
 def tree_sections(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``section(key, sec_no, title, text)`` straight from the trees."""
-    return docs.select(key, F.inline(V.sections(F.col("doc"), _paged(docs))))
+    """``section(key, sec_no, title, text)`` straight from the trees.
+
+    A heading opens a section and its text is also the start of the section's text; what stands before the first
+    heading is dropped; page breaks do not matter. A task holds a batch of elements and one section.
+    """
+    rows = _element_rows(docs, key, V.SECTION_TYPES).where("json is not null").select(key, "row", "type", "json")
+    schema = T.StructType([docs.schema[key], *T.StructType.fromDDL("sec_no int, title string, text string").fields])
+    inner = frozenset(V.SECTION_TYPES) - {"character"}
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row, last, number, texts, done, kind = None, None, 0, [], [], None
+
+        def close() -> None:
+            if texts:
+                done.append((last, number, texts[0], "".join(t + "\n\n" for t in texts)))
+
+        def rows_done() -> pa.RecordBatch:
+            columns = zip(*done) if done else ([],) * 4
+            types = kind, pa.int32(), pa.string(), pa.string()
+            return pa.RecordBatch.from_arrays([*map(pa.array, columns, types)], schema.names)
+
+        for part in _parts(batches):
+            kind = part.schema.field(0).type
+            for k, r, t, tree in zip(*(c.to_pylist() for c in part.columns)):
+                if r != row or t == "heading":
+                    close()
+                    number = number + 1 if r == row else int(t == "heading")
+                    row, last, texts = r, k, []
+                if number:
+                    texts.append(leaves(tree, inner))
+            yield rows_done()
+            done = []
+        close()
+        if done:
+            yield rows_done()
+
+    return rows.mapInArrow(cut, schema)
 
 
 def tree_page_text(
     docs: DataFrame, page_no: int | None = None, key: str = "doc_id"
 ) -> DataFrame:
-    """Text of a page, or of all pages. A document without that page gives no row."""
+    """Text of a page, or of all pages; lists are not text here. A document without that page gives no row."""
     if page_no is not None:
         numbers = F.transform(
             V.pages(F.col("doc"), _paged(docs)), lambda p: F.try_variant_get(p, "$.pageNumber", "int")
         )
         docs = docs.where(F.array_contains(numbers, page_no))
-    return docs.select(key, V.page_text(F.col("doc"), page_no, _paged(docs)).alias("text"))
+    rows = _element_rows(docs, key, V.PAGE_TYPES, outer=True)
+    if page_no is not None:
+        rows = rows.withColumn("json", F.when(F.col("page_no") == page_no, F.col("json")))
+    # A document's first row stays, as it may be the only one.
+    rows = rows.where("json is not null or coalesce(elem_no, 0) = 0").select(key, "row", "known", "json")
+    schema = T.StructType([docs.schema[key], T.StructField("text", T.StringType())])
+    inner = frozenset(V.PAGE_TYPES) - {"character"}
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row, last, known, texts, done, kind = None, None, False, [], [], None
+
+        def close() -> None:
+            if row is not None:
+                done.append((last, "".join(texts) if known else None))
+
+        def rows_done() -> pa.RecordBatch:
+            columns = zip(*done) if done else ([],) * 2
+            return pa.RecordBatch.from_arrays([*map(pa.array, columns, (kind, pa.string()))], schema.names)
+
+        for part in _parts(batches):
+            kind = part.schema.field(0).type
+            for k, r, has_pages, tree in zip(*(c.to_pylist() for c in part.columns)):
+                if r != row:
+                    close()
+                    row, last, known, texts = r, k, has_pages, []
+                if tree is not None:
+                    texts.append(leaves(tree, inner) + "\n\n")
+            yield rows_done()
+            done = []
+        close()
+        if done:
+            yield rows_done()
+
+    return rows.mapInArrow(joined, schema)
 
 
 def tree_elements(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """``element(key, page_no, elem_no, type, text)`` of trees."""
-    return docs.select(key, F.posexplode(V.elements(F.col("doc"), _paged(docs))).alias("elem_no", "e")).select(
-        key,
-        F.col("e.page_no").alias("page_no"),
-        "elem_no",
-        F.col("e.type").alias("type"),
-        V.element_text(F.col("e.node")).alias("text"),
-    )
+    rows = _element_rows(docs, key).select(key, "page_no", "elem_no", "type", "json")
+    schema = T.StructType([*rows.schema.fields[:-1], T.StructField("text", T.StringType())])
+    inner = frozenset(V.SECTION_TYPES) - {"character"}
+
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _parts(batches):
+            text = pa.array([leaves(tree, inner) for tree in part.column("json").to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], text], schema.names)
+
+    return rows.mapInArrow(texts, schema)
 
 
 def leaf_text(nodes: DataFrame) -> DataFrame:
