@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions.arrays import group_starts, let, per_group
-from corpusloom.session import spread
+from corpusloom.functions.arrays import let
+from corpusloom.session import dealt
 
 def word_array(text: Column) -> Column:
     """Lower-cased words in order, stop words included."""
@@ -19,17 +19,7 @@ def _anchor(first: Column, second: Column) -> Column:
 
 
 def postings(words: Column) -> Column:
-    """``array<struct<anchor, at>>``: every anchor of a text once, with all its positions in order."""
-
-    def grouped(hits: Column) -> Column:
-        return per_group(
-            group_starts(hits, lambda x, y: x["anchor"] == y["anchor"]),
-            F.size(hits),
-            lambda s, length, k: F.struct(
-                F.get(hits, s)["anchor"].alias("anchor"),
-                F.transform(F.slice(hits, s + 1, length), lambda h: h["at"]).alias("at"),
-            ),
-        )
+    """``array<struct<anchor, at>>``: every anchor of a text at each of its positions."""
 
     def hits(w: Column) -> Column:
         alone = F.transform(w, lambda x, i: F.struct(_anchor(x, F.lit("")).alias("anchor"), i.alias("at")))
@@ -37,16 +27,16 @@ def postings(words: Column) -> Column:
             F.slice(w, F.lit(1), F.greatest(F.size(w) - 1, F.lit(0))),
             lambda x, i: F.struct(_anchor(x, F.get(w, i + 1)).alias("anchor"), i.alias("at")),
         )
-        return F.sort_array(F.concat(alone, paired))
+        return F.concat(alone, paired)
 
-    return let(words, lambda w: let(hits(w), grouped))
+    return let(words, hits)
 
 
 def mentions(docs: DataFrame, names: DataFrame, keys: list[str] = ["doc_id"]) -> DataFrame:
     """Where the word sequences of ``names(name_id, name)`` occur in ``docs(keys, text)``.
 
-    Texts are an inverted index: every distinct beginning of a name that a text could hold (a
-    word alone, two words in a row) is posted once, as a hash with its positions. Postings
+    Texts are an inverted index: every beginning of a name that a text could hold (a
+    word alone, two words in a row) is posted, as a hash with its position. Postings
     meet the beginnings of the names by equality, whichever side Spark finds smaller,
     and only hits go on: they come back to their text, which verifies the whole name at each position. So
     no list of names enters the plan and nothing is collected.
@@ -56,11 +46,11 @@ def mentions(docs: DataFrame, names: DataFrame, keys: list[str] = ["doc_id"]) ->
     """
     wanted = names.select("name_id", word_array(F.col("name")).alias("_name")).where("size(_name) > 0").distinct()
     wanted = wanted.withColumn("anchor", _anchor(F.get("_name", F.lit(0)), F.get("_name", F.lit(1))))
-    cut = docs.select(*keys, word_array(F.col("text")).alias("_words"))
-    posted = spread(cut).select(*keys, F.inline(postings(F.col("_words"))))
+    cut = dealt(docs.select(*keys, "text")).select(*keys, word_array(F.col("text")).alias("_words"))
+    posted = cut.select(*keys, F.inline(postings(F.col("_words"))))
     # Rows that share their keys share their hits; the text that verifies a position decides.
     hits = posted.join(wanted, "anchor").groupBy(*keys, "name_id", F.col("_name").alias("name")).agg(
-        F.array_distinct(F.flatten(F.collect_list("at"))).alias("at")
+        F.collect_set("at").alias("at")
     )
     hits = hits.groupBy(*keys).agg(F.collect_list(F.struct("name_id", "name", "at")).alias("_hits"))
     back = F.lit(True)
