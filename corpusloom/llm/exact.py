@@ -66,37 +66,30 @@ def runs(keys: np.ndarray):
         yield int(keys[a]), a, b
 
 
-def merged_filters(filters: DataFrame) -> DataFrame:
-    """One filter per segment, merged by sorted remainders without loss."""
+def counted(filters: DataFrame, segment_bits: int, least: int = 2) -> DataFrame:
+    """``fp, n`` of the fingerprints that the filters of all partitions hold ``least`` times or more.
+
+    The filters of a segment merge by sorted remainders without loss, and what they hold is read in
+    the same step: of two Python steps in a row, each would have a worker of its own in every task.
+    """
+    bits = 64 - segment_bits
 
-    def merge(key, table):
+    def read(key, table):
         parts = [QuotientFilter.from_bytes(x) for x in table.column("filter").to_pylist()]
         while len(parts) > 1:  # in pairs, so that every entry moves a logarithm of times
             parts = [a.merge(b) for a, b in zip(parts[::2], parts[1::2])] + parts[len(parts) & ~1 :]
-        return pa.table({"segment": [key[0].as_py()], "filter": pa.array([parts[0].to_bytes()], pa.binary())})
-
-    return filters.groupBy("segment").applyInArrow(merge, "segment long, filter binary")
-
-
-def counted(filters: DataFrame, segment_bits: int, least: int = 2) -> DataFrame:
-    """``fp, n`` of the fingerprints that merged filters hold ``least`` times or more."""
-    bits = 64 - segment_bits
-
-    def read(batches):
-        for batch in batches:
-            for segment, data in zip(batch.column(0).to_pylist(), batch.column(1)):
-                values, counts = QuotientFilter.from_bytes(data.as_py()).entries()
-                often = counts >= least
-                whole = values[often] | np.uint64((segment << bits) & (2**64 - 1))
-                yield pa.RecordBatch.from_arrays([pa.array(whole.view(np.int64)), pa.array(counts[often])], ["fp", "n"])
+        values, counts = parts[0].entries()
+        often = counts >= least
+        whole = values[often] | np.uint64((key[0].as_py() << bits) & (2**64 - 1))
+        return pa.table({"fp": pa.array(whole.view(np.int64)), "n": pa.array(counts[often])})
 
-    return filters.select("segment", "filter").mapInArrow(read, "fp long, n long")
+    return filters.groupBy("segment").applyInArrow(read, "fp long, n long")
 
 
 def repeated_fingerprints(fingerprints: DataFrame, n: int) -> DataFrame:
     """``fp, n`` of fingerprints that occur more than once among ``n`` rows."""
     segment_bits = max(3, (max(n, 1) // SEGMENT).bit_length())
-    return counted(merged_filters(partition_filters(fingerprints, segment_bits)), segment_bits)
+    return counted(partition_filters(fingerprints, segment_bits), segment_bits)
 
 
 def exact_groups(docs: DataFrame) -> DataFrame:

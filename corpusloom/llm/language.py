@@ -43,6 +43,8 @@ LANGUAGES = 500
 SHORT = (20, 80)
 #: Characters scored at a time.
 GROUP = 1 << 16
+#: Rows of a batch whose texts are Python strings at a time.
+ROWS = 256
 
 
 @cache
@@ -211,9 +213,13 @@ def hash_order(*values) -> int:
 
 
 def by_batches(docs: DataFrame, act: Callable[[pa.RecordBatch], pa.RecordBatch], schema) -> DataFrame:
+    """What ``act`` makes of every ``ROWS`` rows. A batch may have 10,000 rows, and a worker never gives back
+    all the memory that their texts and results take at once."""
+
     def run(batches):
         for batch in batches:
-            yield act(batch)
+            for at in range(0, batch.num_rows, ROWS):
+                yield act(batch.slice(at, ROWS))
 
     return docs.mapInArrow(run, schema)
 
