@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.functions.arrays import let
-from corpusloom.session import dealt
+from corpusloom.session import dealt, evened
 
 VOCAB = "http://vocab.test/Vocabulary#"
 CONTEXT = {
@@ -162,7 +162,7 @@ def moved_words(spark, sf_dir) -> DataFrame:
         stays = (i > 0) & ((i + 1) % 5 != 0)
         return F.when(~stays, F.array().cast("array<string>")).when((i + 1) % 7 == 0, added).otherwise(F.array(line))
 
-    texts = dealt(table(spark, sf_dir, "documents")).select("doc_id", first.alias("lines"))
+    texts = evened(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", first.alias("lines"))
     # Rows before texts: who asks for the versions alone makes no text.
     both = texts.select("doc_id", "lines", F.explode(F.array(F.lit(1), F.lit(2))).alias("ver"))
     second = F.concat(F.flatten(F.transform("lines", later)), F.slice("lines", 1, 1))

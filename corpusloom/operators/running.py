@@ -123,3 +123,22 @@ def next_order(
     rows = ranges.with_neighbours(F.min(order), kind, lambda firsts: [*firsts[1:], None], "_following")
     following = F.coalesce(F.lead(order).over(ranges.window()), "_following")
     return rows.select(*ranges.columns, following.alias(out))
+
+
+def overlapping_ranges(df: DataFrame, keys: list[str], order: str, again: str, shares: int | None = None) -> DataFrame:
+    """The rows of ``df`` with the column ``_range``; neighbours in the order of a key meet in one range.
+
+    Rows with the smallest order of a hot key's range come once more in the range before, with ``again`` true.
+    """
+    ranges = Ranges(df, keys, order, shares)
+    kind = T.StructType([T.StructField("first", df.schema[order].dataType), T.StructField("before", T.IntegerType())])
+
+    def edges(found: list) -> list:
+        return [(edge["first"], before) for edge, before in zip(found, [None, *(edge["at"] for edge in found)])]
+
+    rows = ranges.with_neighbours(F.struct(F.min(order).alias("first"), F.min("_range").alias("at")), kind, edges, "_edge")
+    own = F.struct(F.col("_range").alias("range"), F.lit(False).alias("again"))
+    before = F.struct(F.col("_edge.before").alias("range"), F.lit(True).alias("again"))
+    twice = F.col("_edge.before").isNotNull() & (F.col(order) == F.col("_edge.first"))
+    places = F.when(twice, F.array(own, before)).otherwise(F.array(own))
+    return rows.select(*ranges.columns, F.inline(places).alias("_range", again))

@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain, product
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions.lines import changes
+from corpusloom.functions.lines import KINDS, differences
 from corpusloom.functions.text import split_lines
-from corpusloom.operators.running import next_order, running_total
-from corpusloom.session import dealt
+from corpusloom.operators.running import next_order, overlapping_ranges, running_total
+from corpusloom.session import evened, tasks_for
 
 #: Changes of lines that leave a task at a time.
 PER_BATCH = 1 << 16
 
+#: Bytes of texts that are compared at a time.
+CHUNK = 2 << 20
+
 
 def version_history(log: DataFrame, key: str = "doc_id", order: str = "ver") -> DataFrame:
     """All versions of all documents, numbered from 1 in order."""
@@ -91,45 +99,117 @@ def line_changes(log: DataFrame, key: str = "doc_id", order: str = "ver") -> Dat
 
     ``change`` is ``kept``, ``removed`` or ``added``, with the line's number in either version. A line that
     moved is removed in one place and added in another. A null text has no lines. Versions of a key
-    are distinct. A pair of texts is one row, which its task compares by itself.
+    are distinct. Texts are compressed and shuffled once, by key and range of its order; the task that
+    gets them compares neighbours.
     """
-    pairs = consecutive_versions(log, key, order)
-    old = log.select(key, order, F.col("text").alias("_old"))
-    new = log.select(key, F.col(order).alias("next_ver"), F.col("text").alias("_new"))
-    both = pairs.join(old, [key, order]).join(new, [key, "next_ver"]).select(key, order, "next_ver", "_old", "_new")
-    both = dealt(both)  # comparing takes longer than a shuffle of the texts
+    known = log.where(F.col(key).isNotNull() & F.col(order).isNotNull()).select(key, order, "text")
+    known = evened(known)  # packing and what makes the texts take longer than a shuffle of them
     kinds = {c: log.schema[c].dataType.simpleString() for c in (key, order)}
-
-    def compare(batches):
-        for batch in batches:
-            at, found = [], []
-            for i, (left, right) in enumerate(zip(batch.column("_old").to_pylist(), batch.column("_new").to_pylist())):
-                rows = changes(*([] if x is None else x.split("\n") for x in (left, right)))
-                for first in range(0, len(rows), PER_BATCH):
-                    part = rows[first : first + PER_BATCH]
-                    at.append((i, first, len(part)))
-                    found += part
-                    if len(found) >= PER_BATCH:
-                        yield _numbered(batch, at, found)
-                        at, found = [], []
-            if found:
-                yield _numbered(batch, at, found)
-
-    return both.mapInArrow(
-        compare,
+    placed = overlapping_ranges(known, [key], order, "_again").select(key, order, "_range", "_again", "text")
+    packed = placed.mapInArrow(
+        _packed, f"`{key}` {kinds[key]}, `{order}` {kinds[order]}, _range int, _again boolean, _size int, _packed binary"
+    )
+    tasks = tasks_for(known)
+    met = packed.repartition(tasks, key, "_range") if tasks else packed.repartition(key, "_range")
+    window = Window.partitionBy(key, "_range").orderBy(order)
+    sorted_ = met.select(
+        key,
+        order,
+        "_again",
+        "_size",
+        "_packed",
+        F.row_number().over(window).alias("_row"),
+        F.dense_rank().over(window).alias("_version"),
+    )
+    return sorted_.mapInArrow(
+        _compared,
         f"`{key}` {kinds[key]}, `{order}` {kinds[order]}, next_ver {kinds[order]}, no int, change string, old_no int, new_no int, line string",
     )
 
 
-def _numbered(batch: pa.RecordBatch, at: list[tuple[int, int, int]], found: list[tuple]) -> pa.RecordBatch:
-    """Changes with the keys of their pair, and with their numbers in it."""
-    pair, first, length = np.array(at).T
-    rows = pa.array(np.repeat(pair, length))
-    no = np.arange(len(found)) + np.repeat(first + 1 - (np.cumsum(length) - length), length)
-    change, old_no, new_no, line = zip(*found)
-    body = [pa.array(change, pa.string()), pa.array(old_no, pa.int32()), pa.array(new_no, pa.int32()), pa.array(line, pa.string())]
-    names = [*batch.schema.names[:3], "no", "change", "old_no", "new_no", "line"]
-    return pa.RecordBatch.from_arrays([*(batch.column(c).take(rows) for c in range(3)), pa.array(no, pa.int32()), *body], names)
+def _codec() -> pa.Codec:
+    return pa.Codec("zstd", compression_level=1)
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts, the last column, as their size and compressed bytes."""
+    codec = _codec()
+    for batch in batches:
+        *others, texts = batch.columns
+        packed = [codec.compress(x.as_buffer(), asbytes=True) if x.is_valid else None for x in texts]
+        names = [*batch.schema.names[:-1], "_size", "_packed"]
+        yield pa.RecordBatch.from_arrays([*others, pc.binary_length(texts).cast(pa.int32()), pa.array(packed, pa.binary())], names)
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The changes of the pairs of versions in sorted rows, some pairs at a time."""
+    codec = _codec()
+    for rows, pairs in _neighbours(batches):
+        size, packed = rows.column("_size").to_pylist(), rows.column("_packed")
+
+        @lru_cache(maxsize=2)  # a version is the new one of a pair, then the old one
+        def text(i: int) -> bytes | None:
+            return None if size[i] is None else codec.decompress(packed[i].as_buffer(), size[i], asbytes=True)
+
+        chunk, texts, most = [], [], 0
+        for pair in pairs:
+            chunk.append(pair)
+            texts += map(text, pair)
+            most += sum(size[i] or 0 for i in pair)
+            if most >= CHUNK:
+                yield from _changes(rows, chunk, texts, most)
+                chunk, texts, most = [], [], 0
+        if chunk:
+            yield from _changes(rows, chunk, texts, most)
+
+
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Iterator[tuple[int, int]]]]:
+    """Batches of rows, and the places in them of all pairs of rows with consecutive versions of a key.
+
+    The rows of the last two versions of a batch go on to the next one. Rows that repeat a version are a
+    pair too, as often as rows of that version follow one another.
+    """
+    rows, done = None, 0
+    for batch in chain(batches, [None]):
+        if batch is not None:
+            rows = pa.concat_batches([rows, batch]) if rows else batch
+        if not rows:
+            continue
+        first, version, again = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("_row", "_version", "_again"))
+        starts = np.append(True, np.diff(version) != 0) | (first == 1)
+        starts[0] = True
+        begin = np.append(np.flatnonzero(starts), len(starts)).tolist()
+        upto = len(begin) - (1 if batch is None else 2)
+
+        def pairs(begin=begin, done=done, upto=upto, first=first, again=again) -> Iterator[tuple[int, int]]:
+            for n in range(done, upto):
+                here = range(begin[n], begin[n + 1])
+                if not again[begin[n]]:
+                    for _ in here[1:]:
+                        yield from product(here, here)
+                if n and first[begin[n]] != 1:
+                    yield from product(range(begin[n - 1], begin[n]), here)
+
+        yield rows, pairs()
+        if upto:
+            rows, done = rows.slice(begin[upto - 1]), 1
+
+
+def _changes(rows: pa.RecordBatch, pairs: list[tuple[int, int]], texts: list[bytes | None], size: int) -> Iterator[pa.RecordBatch]:
+    """The changes of pairs of rows, whose texts are given two and two."""
+    cut = pc.split_pattern(pa.array(texts, pa.string() if size < 1 << 30 else pa.large_string()), "\n")
+    lines = cut.flatten()
+    bounds = np.append(0, np.cumsum(cut.value_lengths().fill_null(0).to_numpy()))
+    pair, no, kind, old_no, new_no, place = differences(lines.dictionary_encode().indices.to_numpy(), bounds)
+    old, new = np.array(pairs).T
+    kinds, names = pa.array(KINDS), [*rows.schema.names[:2], "next_ver", "no", "change", "old_no", "new_no", "line"]
+    for at in range(0, len(pair), PER_BATCH):
+        part = slice(at, at + PER_BATCH)
+        left, right = (pa.array(side[pair[part]]) for side in (old, new))
+        numbers = [pa.array(n[part], pa.int32(), mask=n[part] == 0) for n in (old_no, new_no)]
+        line = lines.take(pa.array(place[part])).cast(pa.string())
+        of_pair = [rows.column(0).take(left), rows.column(1).take(left), rows.column(1).take(right)]
+        yield pa.RecordBatch.from_arrays([*of_pair, pa.array(no[part], pa.int32()), kinds.take(pa.array(kind[part])), *numbers, line], names)
 
 
 def releases_by_time(tags: DataFrame) -> DataFrame:
