@@ -20,8 +20,11 @@ from corpusloom.session import evened, tasks_for
 #: Changes of lines that leave a task at a time.
 PER_BATCH = 1 << 16
 
+#: Versions of a key that are compressed together, and bytes of their texts: compression finds what is equal in so many.
+PER_FRAME, FRAME = 4, 512 << 10
+
 #: Bytes of texts that are compared at a time.
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 
 
 def version_history(log: DataFrame, key: str = "doc_id", order: str = "ver") -> DataFrame:
@@ -99,24 +102,25 @@ def line_changes(log: DataFrame, key: str = "doc_id", order: str = "ver") -> Dat
 
     ``change`` is ``kept``, ``removed`` or ``added``, with the line's number in either version. A line that
     moved is removed in one place and added in another. A null text has no lines. Versions of a key
-    are distinct. Texts are compressed and shuffled once, by key and range of its order; the task that
-    gets them compares neighbours.
+    are distinct. Texts are compressed, versions of a key that lie side by side together, and shuffled once, by key
+    and range of its order; the task that gets them compares neighbours.
     """
     known = log.where(F.col(key).isNotNull() & F.col(order).isNotNull()).select(key, order, "text")
     known = evened(known)  # packing and what makes the texts take longer than a shuffle of them
     kinds = {c: log.schema[c].dataType.simpleString() for c in (key, order)}
     placed = overlapping_ranges(known, [key], order, "_again").select(key, order, "_range", "_again", "text")
-    packed = placed.mapInArrow(
-        _packed, f"`{key}` {kinds[key]}, `{order}` {kinds[order]}, _range int, _again boolean, _size int, _packed binary"
-    )
+    held = f"array<struct<`{order}`: {kinds[order]}, _again: boolean, _at: int, _size: int>>"
+    packed = placed.mapInArrow(_packed, f"`{key}` {kinds[key]}, _range int, _held {held}, _raw int, _packed binary")
     tasks = tasks_for(known)
     met = packed.repartition(tasks, key, "_range") if tasks else packed.repartition(key, "_range")
     window = Window.partitionBy(key, "_range").orderBy(order)
-    sorted_ = met.select(
+    sorted_ = met.select(key, "_range", F.inline("_held"), "_raw", "_packed").select(
         key,
         order,
         "_again",
+        "_at",
         "_size",
+        "_raw",
         "_packed",
         F.row_number().over(window).alias("_row"),
         F.dense_rank().over(window).alias("_version"),
@@ -132,24 +136,42 @@ def _codec() -> pa.Codec:
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts, the last column, as their size and compressed bytes."""
+    """Rows ``(key, order, _range, _again, text)``, some of a key and range that follow one another as one row: which
+    they are, where in the texts of all each begins and its size, and the size of all and what they are compressed to."""
     codec = _codec()
     for batch in batches:
-        *others, texts = batch.columns
-        packed = [codec.compress(x.as_buffer(), asbytes=True) if x.is_valid else None for x in texts]
-        names = [*batch.schema.names[:-1], "_size", "_packed"]
-        yield pa.RecordBatch.from_arrays([*others, pc.binary_length(texts).cast(pa.int32()), pa.array(packed, pa.binary())], names)
+        key, order, place, again, text = batch.columns
+        text = text.cast(pa.string())
+        _, offsets, data = text.buffers()
+        ends = np.frombuffer(offsets, np.int32)[text.offset : text.offset + len(text) + 1].tolist()
+        first, at, before = [], [], None
+        for i, found in enumerate(zip(key.to_pylist(), place.to_pylist())):
+            if found != before or i - first[-1] == PER_FRAME or ends[i + 1] - ends[first[-1]] > FRAME:
+                first.append(i)
+                before = found
+            at.append(ends[i] - ends[first[-1]])
+        bounds = [*first, len(batch)]
+        spans = [(ends[i], ends[j] - ends[i]) for i, j in zip(bounds, bounds[1:])]
+        frames = [codec.compress(data.slice(*span) if span[1] else b"", asbytes=True) for span in spans]
+        held = [order, again, pa.array(at, pa.int32()), pc.binary_length(text)]
+        held = pa.StructArray.from_arrays(held, [batch.schema.names[1], "_again", "_at", "_size"])
+        columns = [key.take(pa.array(first)), place.take(pa.array(first)), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), held)]
+        raw = pa.array([size for _, size in spans], pa.int32())
+        yield pa.RecordBatch.from_arrays([*columns, raw, pa.array(frames, pa.binary())], [batch.schema.names[0], "_range", "_held", "_raw", "_packed"])
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The changes of the pairs of versions in sorted rows, some pairs at a time."""
     codec = _codec()
     for rows, pairs in _neighbours(batches):
-        size, packed = rows.column("_size").to_pylist(), rows.column("_packed")
+        at, size, raw = (rows.column(c).to_pylist() for c in ("_at", "_size", "_raw"))
+        packed = rows.column("_packed")
 
         @lru_cache(maxsize=2)  # a version is the new one of a pair, then the old one
         def text(i: int) -> bytes | None:
-            return None if size[i] is None else codec.decompress(packed[i].as_buffer(), size[i], asbytes=True)
+            if size[i] is None:
+                return None
+            return codec.decompress(packed[i].as_buffer(), raw[i], asbytes=True)[at[i] : at[i] + size[i]]
 
         chunk, texts, most = [], [], 0
         for pair in pairs:

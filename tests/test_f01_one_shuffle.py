@@ -43,7 +43,7 @@ def test_texts_are_shuffled_once(spark, rows):
     found = versions.line_changes(spark.createDataFrame(log, SCHEMA).repartition(8))
     plan = found._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0]
     assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
-    assert "_packed" in plan[plan.index("Exchange hashpartitioning") :].splitlines()[1]
+    assert "_packed" in plan[plan.index("Exchange hashpartitioning") :]  # before the shuffle
     assert rows(found) == plain(log)
 
 
@@ -71,23 +71,38 @@ def test_neighbours_of_a_hot_key_meet_in_one_range(spark):
 
 
 def test_chunks_and_batches_do_not_show(monkeypatch):
-    log = sorted((r for r in history(5, ["k"], 40, 70) if r[0] and r[1] is not None), key=lambda r: r[1])
-    packed = versions._packed([pa.RecordBatch.from_pydict({"doc_id": ["k"] * len(log), "ver": [r[1] for r in log], "text": pa.array([r[2] for r in log])})])
-    given_ = pa.Table.from_batches(packed)
+    log = sorted((r for r in history(5, ["k"], 40, 70) if r[1] is not None), key=lambda r: r[1])
+    places = pa.array([0] * len(log), pa.int32())
+    texts = pa.RecordBatch.from_pydict(
+        {"doc_id": ["k"] * len(log), "ver": [r[1] for r in log], "_range": places, "_again": [False] * len(log), "text": [r[2] for r in log]}
+    )
     every = sorted({r[1] for r in log})
-    for name, column in (
-        ("_again", [False] * len(log)), ("_row", range(1, len(log) + 1)), ("_version", [every.index(r[1]) + 1 for r in log])
-    ):
-        given_ = given_.append_column(name, pa.array(column))
+    number = {"_row": range(1, len(log) + 1), "_version": [every.index(r[1]) + 1 for r in log]}
     expected = plain(log)
-    for size, out, rows_ in ((1, 1, 1), (50, 7, 13), (1 << 20, 1 << 16, 1000)):
+    for frame, size, out, batch in ((1 << 20, 1, 1, 1), (30, 50, 7, 13), (0, 1 << 20, 1 << 16, 1000)):
+        monkeypatch.setattr(versions, "FRAME", frame)
         monkeypatch.setattr(versions, "CHUNK", size)
         monkeypatch.setattr(versions, "PER_BATCH", out)
-        found = list(versions._compared(iter(given_.to_batches(max_chunksize=rows_))))
+        packed = [r for b in versions._packed(iter([texts.slice(0, 20), texts.slice(20)])) for r in b.to_pylist()]
+        assert max(len(r["_held"]) for r in packed) == {0: 2, 30: 4, 1 << 20: 4}[frame]
+        rows = pa.Table.from_pylist([{"doc_id": r["doc_id"], **h, "_raw": r["_raw"], "_packed": r["_packed"]} for r in packed for h in r["_held"]])
+        for name, column in number.items():
+            rows = rows.append_column(name, pa.array(column))
+        found = list(versions._compared(iter(rows.to_batches(max_chunksize=batch))))
         assert max(b.num_rows for b in found) <= out
         assert sorted((tuple(r.values()) for b in found for r in b.to_pylist()), key=repr) == expected
 
 
+def test_alike_versions_take_the_room_of_one():
+    """A text of random lines and the same with a line less: what is sent is little more than one of them."""
+    rnd = random.Random(1)
+    text = "\n".join(f"{rnd.getrandbits(60):x}" for _ in range(2000))
+    log = {"k": [1, 1, 2], "v": [1, 2, 1], "r": pa.array([0, 0, 0], pa.int32()), "a": [False] * 3, "text": [text, text.partition("\n")[2], None]}
+    first, second = next(versions._packed(iter([pa.RecordBatch.from_pydict(log)]))).to_pylist()
+    assert [h["v"] for h in first["_held"]] == [1, 2] and [h["_size"] for h in second["_held"]] == [None]
+    assert len(first["_packed"]) < 0.7 * len(text) < 0.7 * first["_raw"]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.tuples(st.lists(st.integers(0, 30)), st.lists(st.integers(0, 30)))), st.sampled_from([0, 5]))
 def test_arrays_keep_what_lists_keep(pairs, short):
