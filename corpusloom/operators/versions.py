@@ -23,6 +23,9 @@ PER_BATCH = 1 << 16
 #: Versions of a key that are compressed together, and bytes of their texts: compression finds what is equal in so many.
 PER_FRAME, FRAME = 4, 512 << 10
 
+#: Rows of a batch that are packed or unpacked at a time.
+PER_PART = 1 << 10
+
 #: Bytes of texts that are compared at a time.
 CHUNK = 1 << 20
 
@@ -135,11 +138,16 @@ def _codec() -> pa.Codec:
     return pa.Codec("zstd", compression_level=1)
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield from (batch.slice(at, PER_PART) for at in range(0, batch.num_rows, PER_PART))
+
+
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows ``(key, order, _range, _again, text)``, some of a key and range that follow one another as one row: which
     they are, where in the texts of all each begins and its size, and the size of all and what they are compressed to."""
     codec = _codec()
-    for batch in batches:
+    for batch in _parts(batches):
         key, order, place, again, text = batch.columns
         text = text.cast(pa.string())
         _, offsets, data = text.buffers()
@@ -186,13 +194,13 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Iterator[tuple[int, int]]]]:
-    """Batches of rows, and the places in them of all pairs of rows with consecutive versions of a key.
+    """Parts of batches, and the places in them of all pairs of rows with consecutive versions of a key.
 
-    The rows of the last two versions of a batch go on to the next one. Rows that repeat a version are a
+    The rows of the last two versions of a part go on to the next one. Rows that repeat a version are a
     pair too, as often as rows of that version follow one another.
     """
     rows, done = None, 0
-    for batch in chain(batches, [None]):
+    for batch in chain(_parts(batches), [None]):
         if batch is not None:
             rows = pa.concat_batches([rows, batch]) if rows else batch
         if not rows:
