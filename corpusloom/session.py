@@ -111,7 +111,7 @@ def dealt(df: DataFrame, *by: str) -> DataFrame:
 
 
 def evened(df: DataFrame) -> DataFrame:
-    """``dealt``, if one task has more of the rows than a core's share; a shuffle less than that for files of many row groups.
+    """``dealt``, but rows stay where they are, without a shuffle, if no task has more of them than a core's share.
 
     Rows are counted by task first, which reads none of their columns if ``df`` reads a table.
     """
